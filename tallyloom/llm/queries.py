@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, line_dedup, mixing
+from tallyloom.llm import exact_dedup, line_dedup, mixing, packing
 from tallyloom.llm.shared import table
 
 
@@ -21,8 +21,19 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
+    "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
 }
