@@ -1,12 +1,28 @@
 """One query per operator, with production parameters, over its whole table; SQL where SQL can say it."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, line_dedup, mixing, packing
+from tallyloom.llm import exact_dedup, language_id, line_dedup, mixing, packing, toxicity
 from tallyloom.llm.shared import table
 
 
+def held_out(modulus: int, remainder: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus)) == remainder
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = language_id.fit(docs.filter(~held_out(3, 1)))
+    return language_id.predict(docs, profiles).select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score", "cosine")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out(5, 0)))
+    return toxicity.score(docs, lexicon).select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted", "weight")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -32,6 +48,8 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_toxicity": op2_toxicity,
     "op3_line_dedup": op3_line_dedup,
     "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
