@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, language_id, line_dedup, mixing, packing, toxicity
+from tallyloom.llm import exact_dedup, language_id, line_dedup, mixing, packing, simhash, toxicity
 from tallyloom.llm.shared import table
 
 
@@ -47,6 +47,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, words=1, max_diff=3)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -54,6 +58,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
+    "op8_simhash": op8_simhash,
 }
 
 ORACLES = {
