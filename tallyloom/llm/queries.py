@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, language_id, line_dedup, mixing, packing, simhash, toxicity
+from tallyloom.llm import exact_dedup, language_id, line_dedup, lm_scoring, mixing, nearest, packing, simhash, suffix_dedup, toxicity
 from tallyloom.llm.shared import table
 
 
@@ -51,14 +51,33 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, words=1, max_diff=3)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is what is labelled as of good quality, a fifth of it held out."""
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").filter((F.col("quality") == 1) & ~held_out(5, 0)).select("doc_id")
+    return lm_scoring.score(docs, lm_scoring.fit(docs, good)).withColumn("held_out", held_out(5, 0))
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op3_line_dedup": op3_line_dedup,
     "op4_packing": op4_packing,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
     "op8_simhash": op8_simhash,
+    "op9_lm_scoring": op9_lm_scoring,
+    "op10_nearest": op10_nearest,
 }
 
 ORACLES = {
