@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNKNOWN = "und"
 DIMENSIONS, ORDER, SEED = 512, 3, 7
@@ -174,21 +175,27 @@ def fit(
     return Profiles(languages, _unit(prototypes - common).astype(np.float32), _unit(common).astype(np.float32), dimensions, order, seed)
 
 
-def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: (id, lang_pred, score, cosine), from the whole text and nothing else.
+def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """One row per document: (id, lang_pred, score, cosine), from the whole text and nothing else. keep: columns of docs that
+    pass through in place of the id; they must not be named like the results.
 
     The document's bundle, less its part along what all languages share, is compared with every prototype by cosine; the
     nearest language wins, the first by name in a tie. score is that language's share of exp(8 * cosine) over all languages, so
     it lies between 0 and 1. A null or empty text, or one without letters, is `und` with score 0, as is every text if no language was learned. Rows that
     repeat an id are judged one by one. An empty table gives no rows. Extra columns are ignored.
     """
-    id_type = docs.schema[id_col].dataType.simpleString()
+    keep = [id_col] if keep is None else keep
+    taken = {"lang_pred", "score", "cosine"} & set(keep)
+    if taken:
+        raise ValueError(f"columns named like results: {sorted(taken)}")
+    passed = T.StructType([T.StructField(f"_{k}", docs.schema[c].dataType) for k, c in enumerate(keep)])
+    schema = T.StructType([*passed, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("cosine", T.DoubleType())])
     names = [*profiles.languages, UNKNOWN]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(profiles.dimensions, profiles.order, profiles.seed)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             best, score, cosine = np.full(len(texts), len(names) - 1), np.zeros(len(texts)), np.zeros(len(texts))
             for a, b in _batched(texts) if len(names) > 1 else ():
                 bundle, grams = encode.bundles(texts[a:b])
@@ -201,8 +208,9 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
                 score[a:b][some] = (power[every, top] / power.sum(1))[some]
                 cosine[a:b][some] = near[every, top][some]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([names[k] for k in best], pa.string()), pa.array(score, pa.float64()), pa.array(cosine, pa.float64())],
-                names=[id_col, "lang_pred", "score", "cosine"],
+                [*batch.columns[:-1], pa.array([names[k] for k in best], pa.string()), pa.array(score, pa.float64()), pa.array(cosine, pa.float64())],
+                names=schema.names,
             )
 
-    return docs.select(id_col, F.col(text_col).alias("_text")).mapInArrow(judge, f"`{id_col}` {id_type}, lang_pred string, score double, cosine double")
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(keep)], F.col(text_col).alias("_text"))
+    return rows.mapInArrow(judge, schema).withColumnsRenamed({f"_{k}": c for k, c in enumerate(keep)})

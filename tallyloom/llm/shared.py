@@ -6,6 +6,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.sources.tables import table
+
+__all__ = ["BLANKS", "UPPER", "ascii_lower", "durable", "partitions", "shared_folder", "table"]
+
 #: The characters that separate words and are stripped from line ends: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -13,10 +17,6 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _own_folder: list[str] = []
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir. Only a local master may lack one; it then gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
