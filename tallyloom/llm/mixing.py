@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.llm.shared import durable, partitions
 
 WEIGHTS, TOTAL_SHARE, MAX_REPEATS = (3, 1, 2), 1.5, 2.0
 BLOCK_WORDS, SHARD_BLOCKS, CHUNKS, SLOT_RUN, SEED = 64, 4096, 1024, 8192, 20240229
@@ -85,7 +86,7 @@ def _offsets(docs: DataFrame, chunks: int, seed: int) -> DataFrame:
 def _exploded(rows: DataFrame, count: str, run: int, *keep: str) -> DataFrame:
     """A row for each number below `count`, as _slot. Long runs are cut first and dealt out, so no task grows one whole."""
     starts = rows.filter(F.col(count) > 0).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1, F.lit(run).cast("long"))).alias("_first"))
-    spread = starts.repartition(*keep, "_first")
+    spread = starts.repartition(partitions(rows.sparkSession), *keep, "_first")  # a number, lest few bytes become one task
     return spread.select(*keep, *[c for c in rows.columns if c not in keep], F.explode(F.sequence(F.col("_first"), F.least(F.col("_first") + run, F.col(count)) - 1)).alias("_slot"))
 
 
@@ -107,9 +108,10 @@ def mix_plan(
     A document's words stand at _start in its source's stream, which is cut into blocks of `block` words. The mix has
     one slot per block taken: each slot of a source falls into an output shard by a pseudorandom draw, so a shard's
     counts by source are multinomial in the targets, given the corpus totals. Numbered by shard within their source,
-    the slots run through a permutation of the source's blocks, a new one for every pass over the source.
+    the slots run through a permutation of the source's blocks, a new one for every pass over the source. Words are
+    counted once, into a table in the shared folder.
     """
-    base = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_size"))
+    base = durable(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_size")))
     sizes = base.groupBy("_source").agg(F.sum("_size").alias("_source_size"))
     targets = (
         source_targets(sizes, weights, total_share, max_repeats)
