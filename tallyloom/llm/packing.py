@@ -1,6 +1,7 @@
 """Packing documents into fixed token windows: bounded-space online best-fit per partition, leftovers merged at the end."""
 
 import zlib
+from collections import ChainMap
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +14,10 @@ from tallyloom.llm.shared import durable
 WINDOW, OPEN_WINDOWS, END_ID = 2048, 16, 1
 #: Leftovers of so many partitions meet in one task: at most MERGE_PARTS * WINDOW tokens.
 MERGE_PARTS = 64
-#: Words whose ids a Python worker remembers; later ones are encoded again each time.
-REMEMBERED_WORDS = 600_000
+#: Words, and stems of words, whose ids a Python worker remembers; later ones are put together or encoded again each time.
+REMEMBERED_WORDS, REMEMBERED_STEMS = 400_000, 1_200_000
+#: How the tokenizer's vocabulary marks a unit's last token, and signs that may follow a unit of letters (no apostrophe).
+UNIT_END, SIGNS = "</w>", ".,!?;:$%&*#()"
 
 #: sequence_id: the partition in the upper bits, a count in the lower; sequences of merged leftovers lie beyond all others.
 _PART_BITS, _LEFTOVER = 32, 1 << 62
@@ -26,29 +29,72 @@ _encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Ids of a tokenizer that drops white space: as no token crosses a blank, words can be encoded once and joined."""
+    """Ids of a tokenizer that folds case, drops white space and never joins letters with what follows them.
+
+    No token crosses a blank, so words are encoded once and joined. A word that ends in signs falls apart before them, and
+    its stem of letters is one unit to the tokenizer, which marks the unit's last token. Stems that are new are therefore encoded together,
+    as one text, and told apart by those marks.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        self.stems: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith(UNIT_END)]] = True
 
     def _encode(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.asarray(x.ids, "<u4").tobytes() for x in found]
 
+    def _stems(self, stems: list[str]) -> list[bytes]:
+        ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(stems)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(stems):  # a letter that folds into several units
+            return self._encode(stems)
+        data, cuts = ids.tobytes(), [0, *(4 * cuts).tolist()]
+        return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        parts, rest = {}, []
+        for word in words:
+            stem = word.rstrip(SIGNS)
+            if stem.isalpha():
+                parts[word] = (stem.lower() if stem.isascii() else stem, word[len(stem) :])
+            else:
+                rest.append(word)
+        got = self.stems
+        fresh: dict[str, bytes] = {}
+        stems = list({s for s, _ in parts.values()} - got.keys())
+        for at in range(0, len(stems), 4096):
+            fresh.update(zip(part := stems[at : at + 4096], self._stems(part), strict=True))
+        tails = list({t for _, t in parts.values()} - got.keys())
+        fresh.update(zip(tails, self._encode(tails), strict=True))
+        if len(got) + len(fresh) <= REMEMBERED_STEMS:
+            got.update(fresh)
+            fresh = {}
+        get = lambda x: got[x] if x in got else fresh[x]
+        out = {word: get(stem) + get(tail) for word, (stem, tail) in parts.items()}
+        for at in range(0, len(rest), 4096):
+            out.update(zip(part := rest[at : at + 4096], self._encode(part), strict=True))
+        return out
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """For each text its ids, little-endian unsigned 32-bit."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known, extra = self.known, {}
-        new = [w for w in set().union(*split) if w not in known] if split else []
-        for at in range(0, len(new), 4096):
-            extra.update(zip(part := new[at : at + 4096], self._encode(part), strict=True))
+        known = self.known
+        new = list(set().union(*split) - known.keys())
+        if not new:
+            return [b"".join(map(known.__getitem__, words)) for words in split]
+        extra = self._new(new)
         if len(known) + len(extra) <= REMEMBERED_WORDS:
             known.update(extra)
             return [b"".join(map(known.__getitem__, words)) for words in split]
-        return [b"".join([known[w] if w in known else extra[w] for w in words]) for words in split]
+        both = ChainMap(extra, known) if len(known) > 50 * len(extra) else known | extra
+        return [b"".join([both[w] for w in words]) for words in split]
 
 
 def encoder(path: str) -> WordEncoder:
