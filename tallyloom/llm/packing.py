@@ -1,7 +1,7 @@
 """Packing documents into fixed token windows: bounded-space online best-fit per partition, leftovers merged at the end."""
 
+import re
 import zlib
-from collections import ChainMap
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,10 +14,12 @@ from tallyloom.llm.shared import durable
 WINDOW, OPEN_WINDOWS, END_ID = 2048, 16, 1
 #: Leftovers of so many partitions meet in one task: at most MERGE_PARTS * WINDOW tokens.
 MERGE_PARTS = 64
-#: Words, and stems of words, whose ids a Python worker remembers; later ones are put together or encoded again each time.
-REMEMBERED_WORDS, REMEMBERED_STEMS = 400_000, 1_200_000
-#: How the tokenizer's vocabulary marks a unit's last token, and signs that may follow a unit of letters (no apostrophe).
-UNIT_END, SIGNS = "</w>", ".,!?;:$%&*#()"
+#: Parts of words whose ids a Python worker remembers; later ones are encoded again in each batch.
+REMEMBERED_PARTS = 1_200_000
+#: How the tokenizer's vocabulary marks a unit's last token.
+UNIT_END = "</w>"
+#: Signs between a Latin letter and a blank. The tokenizer begins a new unit there; an apostrophe is not among them.
+SIGNS_APART = re.compile(rb"([.,!?;:$%&*#()](?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[.,!?;:$%&*#()]*)(?=[ \n]|$)")
 
 #: sequence_id: the partition in the upper bits, a count in the lower; sequences of merged leftovers lie beyond all others.
 _PART_BITS, _LEFTOVER = 32, 1 << 62
@@ -29,72 +31,57 @@ _encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Ids of a tokenizer that folds case, drops white space and never joins letters with what follows them.
+    """Ids of a tokenizer that folds case, drops white space and never joins letters with signs that follow them.
 
-    No token crosses a blank, so words are encoded once and joined. A word that ends in signs falls apart before them, and
-    its stem of letters is one unit to the tokenizer, which marks the unit's last token. Stems that are new are therefore encoded together,
-    as one text, and told apart by those marks.
+    No token crosses a blank, so parts between blanks are encoded once and joined. Signs at a word's end are set apart from
+    its letters first, which leaves far fewer parts. A part of letters alone is one unit to the tokenizer, and the unit's last token
+    is marked; new ones are therefore encoded together, as one text, and told apart by those marks.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        self.stems: dict[str, bytes] = {"": b""}
+        self.known: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[k for token, k in vocabulary.items() if token.endswith(UNIT_END)]] = True
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+    def _one_by_one(self, parts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.asarray(x.ids, "<u4").tobytes() for x in found]
 
-    def _stems(self, stems: list[str]) -> list[bytes]:
-        ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(stems)], add_special_tokens=False)[0].ids, "<u4")
+    def _together(self, parts: list[str]) -> list[bytes]:
+        ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(stems):  # a letter that folds into several units
-            return self._encode(stems)
+        if len(cuts) != len(parts):  # a letter that folds into several units
+            return self._one_by_one(parts)
         data, cuts = ids.tobytes(), [0, *(4 * cuts).tolist()]
         return [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
-    def _new(self, words: list[str]) -> dict[str, bytes]:
-        parts, rest = {}, []
-        for word in words:
-            stem = word.rstrip(SIGNS)
-            if stem.isalpha():
-                parts[word] = (stem.lower() if stem.isascii() else stem, word[len(stem) :])
-            else:
-                rest.append(word)
-        got = self.stems
-        fresh: dict[str, bytes] = {}
-        stems = list({s for s, _ in parts.values()} - got.keys())
-        for at in range(0, len(stems), 4096):
-            fresh.update(zip(part := stems[at : at + 4096], self._stems(part), strict=True))
-        tails = list({t for _, t in parts.values()} - got.keys())
-        fresh.update(zip(tails, self._encode(tails), strict=True))
-        if len(got) + len(fresh) <= REMEMBERED_STEMS:
-            got.update(fresh)
-            fresh = {}
-        get = lambda x: got[x] if x in got else fresh[x]
-        out = {word: get(stem) + get(tail) for word, (stem, tail) in parts.items()}
-        for at in range(0, len(rest), 4096):
-            out.update(zip(part := rest[at : at + 4096], self._encode(part), strict=True))
+    def _encode(self, parts: set[bytes]) -> dict[bytes, bytes]:
+        out: dict[bytes, bytes] = {}
+        texts = {part: part.decode() for part in parts}
+        letters = [part for part, text in texts.items() if text.isalpha()]
+        others = [part for part, text in texts.items() if not text.isalpha()]
+        for group, encode in ((letters, self._together), (others, self._one_by_one)):
+            for at in range(0, len(group), 4096):
+                some = group[at : at + 4096]
+                out.update(zip(some, encode([texts[x] for x in some]), strict=True))
         return out
 
-    def ids(self, texts: list[str]) -> list[bytes]:
+    def ids(self, texts: list[bytes]) -> list[bytes]:
         """For each text its ids, little-endian unsigned 32-bit."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        new = list(set().union(*split) - known.keys())
-        if not new:
-            return [b"".join(map(known.__getitem__, words)) for words in split]
-        extra = self._new(new)
-        if len(known) + len(extra) <= REMEMBERED_WORDS:
-            known.update(extra)
-            return [b"".join(map(known.__getitem__, words)) for words in split]
-        both = ChainMap(extra, known) if len(known) > 50 * len(extra) else known | extra
-        return [b"".join([both[w] for w in words]) for words in split]
+        parts = [SIGNS_APART.sub(rb" \1", text.lower()).split() for text in texts]
+        get, new = self.known.get, set()
+        found = [list(map(get, own)) for own in parts]
+        for own, have in zip(parts, found, strict=True):
+            if None in have:
+                new.update([p for p, ids in zip(own, have, strict=True) if ids is None])
+        fresh = self._encode(new)
+        if len(self.known) + len(fresh) <= REMEMBERED_PARTS:
+            self.known.update(fresh)
+        return [b"".join([fresh[p] if ids is None else ids for p, ids in zip(own, have, strict=True)] if None in have else have) for own, have in zip(parts, found, strict=True)]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -232,9 +219,9 @@ def pack_documents(
         packer, kind = _Packer(part, window, open_windows), None
         for batch in batches:
             kind = batch.schema.field(0).type
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
             for at in range(0, len(ids), 512):
-                for i, found in zip(ids[at : at + 512], words.ids([t or "" for t in texts[at : at + 512]]), strict=True):
+                for i, found in zip(ids[at : at + 512], words.ids([t or b"" for t in texts[at : at + 512]]), strict=True):
                     packer.add(i, found + end)
                 yield table(packer.rows, None, kind)
                 packer.rows = []
