@@ -13,8 +13,9 @@ MIN_LANGUAGE_SCORE = 0.3
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or whose nearest language is hardly nearer than the others, go."""
-    told = language_id.predict(docs, language_id.fit(docs), keep=docs.columns)
-    return told.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "text")
+    told = language_id.predict(whole, language_id.fit(docs), keep=["_doc"])
+    return told.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("_doc.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
