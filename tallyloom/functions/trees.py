@@ -6,6 +6,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _nodes(value: str | None) -> list[tuple[str, str]]:
@@ -27,18 +28,18 @@ def _nodes(value: str | None) -> list[tuple[str, str]]:
     return found
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def rich_text(values: pd.Series) -> pd.Series:
     """Texts of all text nodes, joined by spaces; null without any."""
     return values.map(lambda v: " ".join(t for _, t in _nodes(v)) or None)
 
 
-@F.pandas_udf("array<struct<path:string,value:string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("value", T.StringType())])))
 def rich_text_nodes(values: pd.Series) -> pd.Series:
     return values.map(lambda v: [{"path": p, "value": t} for p, t in _nodes(v)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def ascii_slug(values: pd.Series) -> pd.Series:
     """Handle in ASCII: compatibility forms taken apart, other letters left out, runs of the rest one hyphen, 255 at most."""
 

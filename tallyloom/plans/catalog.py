@@ -124,8 +124,8 @@ def m18(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "m19_jaccard_best",
     """
-WITH l AS (SELECT DISTINCT o_custkey AS id, l_suppkey % 60 AS item FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderpriority LIKE '1%'),
-r AS (SELECT DISTINCT o_custkey AS id, l_suppkey % 60 AS item FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderpriority LIKE '2%'),
+WITH l AS (SELECT DISTINCT o_custkey AS id, l_suppkey AS item FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderpriority LIKE '1%'),
+r AS (SELECT DISTINCT o_custkey AS id, l_suppkey AS item FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderpriority LIKE '2%'),
 ln AS (SELECT id, count(*) AS n FROM l GROUP BY id), rn AS (SELECT id, count(*) AS n FROM r GROUP BY id),
 c AS (SELECT l.id AS left_id, r.id AS right_id, count(*) AS n_both FROM l JOIN r USING (item) GROUP BY ALL),
 s AS (SELECT left_id, right_id, n_both::DOUBLE / (ln.n + rn.n - n_both)::DOUBLE AS score FROM c JOIN ln ON ln.id = left_id JOIN rn ON rn.id = right_id)
@@ -133,7 +133,7 @@ SELECT left_id, right_id, score FROM s WHERE score >= 0.3 QUALIFY row_number() O
 )
 def m19(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-    sets = lambda like: lines.filter(F.col("o_orderpriority").like(like)).groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set(F.col("l_suppkey") % 60).alias("items"))
+    sets = lambda like: lines.filter(F.col("o_orderpriority").like(like)).groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set("l_suppkey").alias("items"))
     return match.jaccard_best(sets("1%"), sets("2%"), 0.3)
 
 

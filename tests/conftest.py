@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tallyloom.sources.tables import importable  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -18,5 +20,6 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    importable(session)
     yield session
     session.stop()
