@@ -11,7 +11,7 @@ from tallyloom.llm.shared import durable
 
 MATCH, GRAM = 200, 32
 #: Bytes that are hashed together; suffixes of one sorted run; suffixes that one merging task expects.
-PIECE, RUN, PER_MERGE = 1 << 20, 100_000, 60_000
+PIECE, RUN, PER_MERGE = 1 << 20, 50_000, 60_000
 
 _MULTIPLIER = 0x01000193
 _END, _BEGIN = b"\xff", b"\xfe"  # stand beyond a document's ends; UTF-8 has neither
