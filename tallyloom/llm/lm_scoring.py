@@ -7,12 +7,15 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of the shared vocabulary: the text's beginning, ENDINGS classes of rarer words by their last two bytes, and the
-#: most frequent words. Its square bounds what the models hold, whatever the corpus.
-VOCABULARY, ENDINGS = 1024, 256
+from tallyloom.llm.shared import durable
+
+#: Of a bounded vocabulary, classes of rarer words by their last two bytes.
+ENDINGS = 256
+#: Code of the text's beginning. A word with more than 1 of HOT occurrences is spread over SALTS parts of a join, as is a pair of such words.
+BEGINNING, HOT, SALTS = 0, 512, 16
 #: Weight of the unigram model in a bigram's probability, in words; what every entry is seen before any text.
 PRIOR, FLOOR = 50.0, 0.5
 FLUSH_WORDS, KNOWN_WORDS = 300_000, 500_000
@@ -23,6 +26,22 @@ def words(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
+class Keys(dict):
+    """64-bit hash of each word; remembers a bounded number of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        key = xxhash.xxh3_64_intdigest(word) or 1
+        if len(self) < KNOWN_WORDS:
+            self[word] = key
+        return key
+
+    def of(self, text: bytes | None) -> np.ndarray:
+        found = words(text)
+        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found)).view(np.int64)
+
+
 class Codes(dict):
     """Vocabulary entry of each word; remembers a bounded number of rarer words."""
 
@@ -53,7 +72,21 @@ class Models:
     background: np.ndarray
 
 
-def learn_vocabulary(docs: DataFrame, text_col: str = "text", vocabulary: int = VOCABULARY, endings: int = ENDINGS) -> list[bytes]:
+@dataclass
+class WordModels:
+    """Counts of all words and pairs as tables: words (_w, _t, _all, _before_t, _before_all) and pairs (_a, _b, _t, _all)."""
+
+    words: DataFrame
+    pairs: DataFrame
+    hot: list[int]
+    n_words: int
+    n_target: int
+    n_all: int
+    prior: float
+    floor: float
+
+
+def learn_vocabulary(docs: DataFrame, text_col: str = "text", vocabulary: int = 1024, endings: int = ENDINGS) -> list[bytes]:
     """The most frequent words of all documents, ties by bytes. Words are counted map-side, then over the corpus."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,21 +119,25 @@ def fit(
     target_ids: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    vocabulary: int = VOCABULARY,
+    vocabulary: int | None = None,
     endings: int = ENDINGS,
     prior: float = PRIOR,
     floor: float = FLOOR,
-) -> Models:
+) -> Models | WordModels:
     """The two models. target_ids: one column, ids of the documents that the target model learns from; null ids are passed over.
 
     The background model learns from all documents, the target model from its own; both have the vocabulary of all. They
-    are matched: the background counts are scaled to the target's number of words before smoothing. Each task sums
-    the bigrams it has seen into one table, the sums meet by cell, and the vocabulary's square of sums at most goes to the driver.
+    are matched: the background counts are scaled to the target's number of words before smoothing. Every word of the corpus
+    is told apart (by a 64-bit hash), and one entry stands for words not seen; the counts stay Spark tables. With `vocabulary`,
+    only that many entries are, and rarer words fall into `endings` classes: then each task sums the bigrams it has seen into one
+    table, the sums meet by cell, and the vocabulary's square of sums at most goes to the driver.
     """
-    frequent = learn_vocabulary(docs, text_col, vocabulary, endings)
-    size = vocabulary
     chosen = target_ids.select(F.col(target_ids.columns[0]).alias("_chosen")).filter(F.col("_chosen").isNotNull()).distinct()
     marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen.hint("merge"), F.col("_id") == F.col("_chosen"), "left")  # one plan at every size
+    if vocabulary is None:
+        return _fit_words(marked.select("_text", F.col("_chosen").isNotNull().alias("_mark")), prior, floor)
+    frequent = learn_vocabulary(docs, text_col, vocabulary, endings)
+    size = vocabulary
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, seen = Codes(frequent, endings), np.zeros((2, size * size), np.int64)
@@ -127,16 +164,129 @@ def fit(
     return Models(frequent, endings, _losses(target, 1.0, prior, floor).astype(np.float32), _losses(background, scale, prior, floor).astype(np.float32))
 
 
-def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _fit_words(marked: DataFrame, prior: float, floor: float) -> WordModels:
+    """marked: (_text, _mark). A task sums the words that it meets; sums of words and of pairs meet by key."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = Keys()
+
+        def out(held: list[np.ndarray]) -> pa.RecordBatch:
+            w, where = np.unique(np.concatenate([h[0] for h in held]) if held else np.zeros(0, np.int64), return_inverse=True)
+            sums = [np.bincount(where, np.concatenate([h[k] for h in held]), len(w)).astype(np.int64) if held else w for k in range(1, 5)]
+            return pa.RecordBatch.from_arrays([pa.array(w), *map(pa.array, sums)], names=["_w", "_t", "_all", "_before_t", "_before_all"])
+
+        held, n = [], 0
+        for batch in batches:
+            for text, mark in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist(), strict=True):
+                found = keys.of(text.as_py())
+                if not len(found):
+                    continue
+                w = np.r_[BEGINNING, found]
+                here, before = np.r_[0, np.ones(len(found), np.int64)], np.r_[np.ones(len(found), np.int64), 0]
+                held.append(np.stack([w, here * mark, here, before * mark, before]))
+                n += len(w)
+                if n > 4 * FLUSH_WORDS:
+                    yield out(held)
+                    held, n = [], 0
+        yield out(held)
+
+    names = ["_t", "_all", "_before_t", "_before_all"]
+    found = durable(marked.mapInArrow(count, "_w long, _t long, _all long, _before_t long, _before_all long").groupBy("_w").agg(*[F.sum(c).alias(c) for c in names]))
+    n_words, n_target, n_all = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("_t"), F.lit(0)), F.coalesce(F.sum("_all"), F.lit(0))).first()
+    hot = [r[0] for r in found.filter(F.greatest("_all", "_before_all") * HOT > n_all).select("_w").collect()]  # 2 * HOT at most
+    pairs = _pairs(marked.withColumn("_key", F.lit(0).cast("long"))).groupBy("_a", "_b").agg(F.sum(F.when(F.col("_mark"), F.col("_n")).otherwise(0)).alias("_t"), F.sum("_n").alias("_all"))
+    return WordModels(found, pairs, hot, n_words, n_target, n_all, prior, floor)
+
+
+def _pairs(texts: DataFrame) -> DataFrame:
+    """texts: (_text, _mark, _key). A row (_key, _mark, _a, _b, _n) for each pair of neighbours that differs from a text's others, _a being BEGINNING once."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = Keys()
+
+        def out(held: list[tuple]) -> pa.RecordBatch:
+            a, b, n = (np.concatenate(x) for x in list(zip(*held, strict=True))[2:])
+            each = [len(h[2]) for h in held]
+            key, mark = (np.repeat(np.array(x), each) for x in list(zip(*held, strict=True))[:2])
+            return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(mark, pa.bool_()), pa.array(a), pa.array(b), pa.array(n.astype(np.int32))], names=["_key", "_mark", "_a", "_b", "_n"])
+
+        held, rows = [], 0
+        for batch in batches:
+            for text, mark, key in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                b = keys.of(text.as_py())
+                if not len(b):
+                    continue
+                a = np.r_[BEGINNING, b[:-1]]
+                with np.errstate(over="ignore"):
+                    both = a * np.int64(-7046029254386353131) ^ b
+                _, first, n = np.unique(both, return_index=True, return_counts=True)
+                held.append((key, mark, a[first], b[first], n))
+                rows += len(n)
+                if rows > 50_000:
+                    yield out(held)
+                    held, rows = [], 0
+        if held:
+            yield out(held)
+
+    return texts.select("_text", "_mark", "_key").mapInArrow(split, "_key long, _mark boolean, _a long, _b long, _n int")
+
+
+def _score_words(docs: DataFrame, models: WordModels, id_col: str, text_col: str) -> DataFrame:
+    """Losses of the pairs that the documents hold meet the documents' own pairs by key; nothing but the hot words' hashes is sent around.
+
+    A document is known by a 64-bit hash of its id and text. Rows that share both add up to a multiple of each sum,
+    which their number of beginnings divides again.
+    """
+    m = models
+    scale = m.n_target / m.n_all if m.n_all else 1.0
+    keyed = docs.select(F.col(id_col).alias("_id"), F.xxhash64(id_col, text_col).alias("_key"), F.col(text_col).alias("_text"))
+    own = _pairs(keyed.withColumn("_mark", F.lit(False))).select("_key", "_a", "_b", "_n")
+
+    def is_hot(c: str) -> Column:
+        return F.col(c).isin(m.hot) if m.hot else F.lit(False)
+
+    def met(left: DataFrame, by: str, other: str, columns: list[str], names: list[str]) -> DataFrame:
+        """left with counts of the words in `by`; those of a hot word are copied to as many parts as its rows are spread over."""
+        spread = m.words.select(F.col("_w").alias(by), *[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)], F.explode(F.sequence(F.lit(0), F.when(is_hot("_w"), SALTS - 1).otherwise(0))).alias("_salt"))
+        salted = left.withColumn("_salt", F.when(is_hot(by), F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).otherwise(0))
+        return salted.join(spread.hint("merge"), [by, "_salt"], "left").drop("_salt").fillna(0, names)
+
+    needed = own.groupBy("_a", "_b").agg(F.lit(1).alias("_needed")).drop("_needed")
+    counted = needed.join(m.pairs.hint("merge"), ["_a", "_b"], "left").fillna(0, ["_t", "_all"])
+    counted = met(counted, "_a", "_b", ["_before_t", "_before_all"], ["_a_t", "_a_all"])
+    counted = met(counted, "_b", "_a", ["_t", "_all"], ["_b_t", "_b_all"])
+
+    def loss(kind: str, scale: float, total: float) -> Column:
+        # of words, the beginning has an entry as well, that words not seen in the corpus take
+        once = (F.col(f"_b_{kind}") * F.lit(scale) + F.lit(m.floor)) / F.lit(total * scale + m.floor * max(m.n_words, 1))
+        return -F.log2((F.col(f"_{kind}") * F.lit(scale) + F.lit(m.prior) * once) / (F.col(f"_a_{kind}") * F.lit(scale) + F.lit(m.prior)))
+
+    both_hot = is_hot("_a") & is_hot("_b")
+    losses = counted.select("_a", "_b", loss("t", 1.0, m.n_target).alias("_lt"), loss("all", scale, m.n_all).alias("_lb"))
+    losses = losses.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(both_hot, SALTS - 1).otherwise(0))))
+    salted = own.withColumn("_salt", F.when(both_hot, F.pmod("_key", F.lit(SALTS)).cast("int")).otherwise(0))
+    sums = (
+        salted.join(losses.hint("merge"), ["_a", "_b", "_salt"])
+        .groupBy("_key")
+        .agg(F.sum("_n").alias("_n"), F.sum(F.when(F.col("_a") == BEGINNING, F.col("_n"))).alias("_copies"), F.sum(F.col("_n") * F.col("_lt")).alias("_st"), F.sum(F.col("_n") * F.col("_lb")).alias("_sb"))
+        .select("_key", F.expr("_n div _copies").alias("n_tokens"), (F.col("_st") / F.col("_n")).alias("loss_target"), (F.col("_sb") / F.col("_n")).alias("loss_background"))
+    )
+    out = keyed.select("_id", "_key").join(sums.hint("merge"), "_key", "left").fillna(0, ["n_tokens", "loss_target", "loss_background"])
+    return out.select(F.col("_id").alias(id_col), "n_tokens", "loss_target", "loss_background", (F.col("loss_background") - F.col("loss_target")).alias("score"))
+
+
+def score(docs: DataFrame, models: Models | WordModels, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: (id, n_tokens, loss_target, loss_background, score).
 
     Losses are bits per word over the whole text; score is background less target, the mean over the words of their loss differences: the higher, the
     more the document is like the target. A null or blank text has no words and 0 throughout. Rows that repeat an id are
     scored one by one. Extra columns are ignored. An empty table gives no rows.
     """
+    if isinstance(models, WordModels):
+        return _score_words(docs, models, id_col, text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
     size = len(models.target)
-    shared = docs.sparkSession.sparkContext.broadcast((models.frequent, models.endings, models.target.ravel(), models.background.ravel()))  # 8 * VOCABULARY ** 2 bytes
+    shared = docs.sparkSession.sparkContext.broadcast((models.frequent, models.endings, models.target.ravel(), models.background.ravel()))  # 8 * vocabulary ** 2 bytes
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, endings, target, background = shared.value

@@ -257,6 +257,45 @@ def test_lm_scoring(spark, docs, rows, empty):
     assert words[0] == b"gamma" and len(words) == 2
 
 
+def test_lm_scoring_tells_all_words_apart(spark):
+    rng = random.Random(5)
+    fill = [" ".join(f"w{rng.randrange(900)}" for _ in range(40)) for _ in range(100)]
+    texts = [*fill, "The quoxan runs", "the quoxan runs", "the blivan runs", "the blivan runs far", "of the of the of the", "  ", None]
+    table = spark.createDataFrame([*enumerate(texts), (100, texts[100]), (None, "the blivan")], "doc_id long, text string")
+    chosen = [*range(30), 100, 101]
+    tokens = [brute.words(brute.ascii_lower(t or "")) for _, t in table.collect()]
+    ids = [r["doc_id"] for r in table.collect()]
+
+    def fit(rows):
+        once, before, pairs = {}, {}, {}
+        for w in rows:
+            for a, b in zip([None, *w], w, strict=False):
+                for counts, key in ((once, b), (before, a), (pairs, (a, b))):
+                    counts[key] = counts.get(key, 0) + 1
+        return once, before, pairs
+
+    target, back = fit([w for i, w in zip(ids, tokens, strict=True) if i in chosen]), fit(tokens)
+    scale = sum(target[0].values()) / sum(back[0].values())
+
+    def loss(w, model, scale):
+        once, before, pairs = model
+        low = sum(once.values()) * scale + 0.5 * (len(back[0]) + 1)
+        rest = [50 * (once.get(b, 0) * scale + 0.5) / low for b in w]
+        each = [-math.log2((pairs.get((a, b), 0) * scale + r) / (before.get(a, 0) * scale + 50)) for a, b, r in zip([None, *w], w, rest, strict=False)]
+        return sum(each) / max(len(w), 1)
+
+    models = lm_scoring.fit(table, spark.createDataFrame([(k,) for k in chosen], "doc_id long"))
+    got = lm_scoring.score(table, models).collect()
+    want = [(i, len(w), loss(w, target, 1.0), loss(w, back, scale)) for i, w in zip(ids, tokens, strict=True)]
+    shown = sorted((str(r[0]), r[1], round(r[2], 6), round(r[3], 6)) for r in got)
+    assert shown == sorted((str(i), n, round(t, 6), round(b, 6)) for i, n, t, b in want)
+    assert all(math.isclose(r["score"], r["loss_background"] - r["loss_target"]) for r in got)
+    one, other = (next(r["score"] for r in got if r["doc_id"] == k) for k in (101, 102))
+    assert one > other
+    new = lm_scoring.score(spark.createDataFrame([(1, "unheard of")], table.schema), models).collect()
+    assert math.isclose(new[0]["loss_target"], loss(["unheard", "of"], target, 1.0), rel_tol=1e-9)
+
+
 def test_language_id(spark, docs, rows, empty):
     sf = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     profiles = language_id.fit(sf.filter(~queries.held_out(3, 1)))
