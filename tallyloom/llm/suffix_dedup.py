@@ -12,6 +12,8 @@ from tallyloom.llm.shared import durable
 MATCH, GRAM = 200, 32
 #: Bytes that are hashed together; suffixes of one sorted run; suffixes that one merging task expects.
 PIECE, RUN, PER_MERGE = 1 << 20, 50_000, 60_000
+#: One merging task takes all places of a gram up to so many; beyond, the windows around them are counted one by one.
+HOT_GRAM, WINDOWS = 100_000, 500_000
 
 _MULTIPLIER = 0x01000193
 _END, _BEGIN = b"\xff", b"\xfe"  # stand beyond a document's ends; UTF-8 has neither
@@ -216,6 +218,64 @@ def _make_runs(match: int, gram: int, targets: int):
     return run
 
 
+def _windows(match: int, gram: int):
+    """Windows of `match` bytes that hold a whole gram of `_places`, by 128-bit hash: of those that are equal within WINDOWS one
+    row (_h1, _h2, _done, _k1, _k2, _from, _to) goes on, done if there are several, and all those are rows without a hash, joined to ranges."""
+    width = match - gram + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+
+        def out() -> pa.RecordBatch:
+            hashes = np.frombuffer(b"".join(found), "V16")
+            doc, start = np.repeat(np.arange(len(each)), each), np.concatenate(starts)
+            _, one, where, n = np.unique(hashes.view([("a", "<u8"), ("b", "<u8")]), return_index=True, return_inverse=True, return_counts=True)
+            many = np.flatnonzero(n[where] > 1)
+            d, x = doc[many], start[many]
+            order = np.lexsort((x, d))
+            d, x = d[order], x[order]
+            heads = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (x[1:] > x[:-1] + match)]) if len(d) else np.zeros(0, np.int64)
+            tails = np.r_[heads[1:], len(d)] - 1
+            pairs = hashes.view("<i8").reshape(-1, 2)[one]
+            none = [None] * len(heads)
+            who = np.r_[doc[one], d[heads]]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([*pairs[:, 0].tolist(), *none], pa.int64()),
+                    pa.array([*pairs[:, 1].tolist(), *none], pa.int64()),
+                    pa.array(np.r_[n > 1, np.ones(len(heads), bool)]),
+                    pa.array(np.array(first, np.int64)[who]),
+                    pa.array(np.array(second, np.int32)[who]),
+                    pa.array(np.r_[start[one], x[heads]]),
+                    pa.array(np.r_[start[one], x[tails] if len(heads) else heads] + match),
+                ],
+                names=["_h1", "_h2", "_done", "_k1", "_k2", "_from", "_to"],
+            )
+
+        found, starts, first, second, each = [], [], [], [], []
+        for batch in batches:
+            texts = batch.column(2).cast(pa.binary())
+            for k1, k2, text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, batch.column(3), strict=True):
+                data, at = text.as_py(), np.sort(places.values.to_numpy(zero_copy_only=False))
+                below = -1
+                for a in range(0, len(at), 500):
+                    s = np.unique((at[a : a + 500, None] - np.arange(width)).ravel())
+                    s = s[(s >= 0) & (s > below) & (s <= len(data) - match)]
+                    below = int(s[-1]) if len(s) else below
+                    found += [xxh3_128_digest(data[x : x + match]) for x in s.tolist()]
+                    starts.append(s)
+                    first.append(k1)
+                    second.append(k2)
+                    each.append(len(s))
+                    if len(found) >= WINDOWS:
+                        yield out()
+                        found, starts, first, second, each = [], [], [], [], []
+        if found:
+            yield out()
+
+    return run
+
+
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Length of the common prefix of each pair of rows."""
     differ = a != b
@@ -349,29 +409,39 @@ def _row_key(id_col: str, text: Column) -> list[Column]:
     return [F.xxhash64(F.col(id_col), text).alias("_k1"), F.hash(text).alias("_k2")]
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH, gram: int = GRAM, per_merge: int = PER_MERGE) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH, gram: int = GRAM, per_merge: int = PER_MERGE, hot: int = HOT_GRAM) -> DataFrame:
     """(_k1, _k2, _from, _to): byte ranges, overlapping, that cover all that repeats; keys as of _row_key.
 
     Of the suffixes only those at anchors are sorted: each window of `match` bytes picks one of its `gram`-byte strings by hash,
     and repeated windows pick alike. Anchors whose gram occurs once are out. The others' contexts become sorted runs, are
-    cut by target, sent front-coded and merged, and neighbours in the merged order tell what repeats.
+    cut by target, sent front-coded and merged, and neighbours in the merged order tell what repeats. A gram at more than `hot`
+    places would fill one merging task: there the windows that hold it are hashed, equal ones collapse in their tasks, and the rest meet by hash.
     """
     if gram < 2 or gram & (gram - 1) or gram > match:
         raise ValueError("gram: a power of two up to match")
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(*_row_key(id_col, text), text.alias("_text")).filter(F.octet_length("_text") >= match)
     found = durable(base.mapInArrow(_find_anchors(match, gram), "_k1 long, _k2 int, _gram long, _pos long"))
-    again = found.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_gram")
-    places = durable(found.join(again, "_gram").groupBy("_k1", "_k2").agg(F.collect_set("_pos").alias("_places")))
+    again = found.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_gram", (F.col("_n") > hot).alias("_hot"))
+    both = durable(found.join(again, "_gram").groupBy("_k1", "_k2").agg(*[F.collect_set(F.when(F.col("_hot") == flag, F.col("_pos"))).alias(name) for flag, name in ((False, "_places"), (True, "_hot_places"))]))
+    places = both.filter(F.size("_places") > 0).select("_k1", "_k2", "_places")
     n = places.agg(F.sum(F.size("_places"))).first()[0] or 0
     targets = -(-n // per_merge) or 1
     runs = durable(base.join(places, ["_k1", "_k2"]).select("_k1", "_k2", "_text", "_places").mapInArrow(_make_runs(match, gram, targets), ROWS))
     ranges = "_k1 long, _k2 int, _from long, _to long"
     met = runs.filter("_target is not null").groupBy("_target").applyInArrow(_merge_runs(match, gram), ranges)
-    return runs.filter("_target is null").select("_k1", "_k2", "_from", "_to").unionByName(met)
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH, gram: int = GRAM, per_merge: int = PER_MERGE) -> DataFrame:
+    ranges_found = runs.filter("_target is null").select("_k1", "_k2", "_from", "_to").unionByName(met)
+    dense = both.filter(F.size("_hot_places") > 0).select("_k1", "_k2", F.col("_hot_places").alias("_places"))
+    if dense.isEmpty():
+        return ranges_found
+    windows = durable(base.join(dense, ["_k1", "_k2"]).select("_k1", "_k2", "_text", "_places").mapInArrow(_windows(match, gram), f"_h1 long, _h2 long, _done boolean, {ranges}"))
+    open_ = F.when(~F.col("_done"), F.struct("_k1", "_k2", "_from", "_to"))
+    met = windows.filter("_h1 is not null").groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"), F.collect_list(open_).alias("_open"))  # a row for each WINDOWS at most
+    repeated = met.filter("_n > 1").select(F.explode("_open").alias("_range")).select("_range.*")
+    return ranges_found.unionByName(windows.filter("_h1 is null").select("_k1", "_k2", "_from", "_to")).unionByName(repeated)
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH, gram: int = GRAM, per_merge: int = PER_MERGE, hot: int = HOT_GRAM) -> DataFrame:
     """One row per document: (id, n_bytes, n_removed, n_spans, kept), kept being the bytes that stay, as binary.
 
     Every byte goes that lies in a string of `match` bytes which also starts anywhere else in the table, the same document
@@ -383,7 +453,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id_type = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
     whole = docs.select(F.col(id_col).alias("_id"), *_row_key(id_col, text), text.alias("_text"))
-    cuts = repeated_spans(docs, id_col, text_col, match, gram, per_merge).distinct().groupBy("_k1", "_k2").agg(F.collect_list("_from").alias("_from"), F.collect_list("_to").alias("_to"))
+    cuts = repeated_spans(docs, id_col, text_col, match, gram, per_merge, hot).distinct().groupBy("_k1", "_k2").agg(F.collect_list("_from").alias("_from"), F.collect_list("_to").alias("_to"))
     rows = whole.join(cuts, ["_k1", "_k2"], "left").select("_id", "_text", "_from", "_to")
     made = rows.mapInArrow(_cut, f"_id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary")
     return made.withColumnRenamed("_id", id_col)

@@ -148,6 +148,30 @@ def test_suffix_dedup(spark, docs, rows, empty):
     assert suffix_dedup.remove_repeats(empty).collect() == []
 
 
+def test_suffix_dedup_with_a_hot_gram(spark, monkeypatch):
+    rng = random.Random(11)
+    footer = "All of this is under the licence of the house and its garden."  # under 200 bytes, so nothing of it alone repeats
+    other = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(150, 300))) for _ in range(60)]
+    data = [a + footer + b for a, b in zip(other, other[::-1], strict=True)] + [other[0] + footer + "x" * 90, other[3], None, "y" * 700]
+    table = spark.createDataFrame([*enumerate(data), (0, data[0])], "doc_id long, text string").repartition(3)
+    most = []
+
+    def runs(match, gram, targets, make=suffix_dedup._make_runs):
+        most.append(targets)
+        return make(match, gram, targets)
+
+    monkeypatch.setattr(suffix_dedup, "_make_runs", runs)
+    for hot in (20, 10**6):
+        got = sorted((r["doc_id"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.remove_repeats(table, per_merge=20, hot=hot).collect())
+        every = [*data, data[0]]
+        raw = [(t or "").encode() for t in every]
+        want = []
+        for k, (b, flags) in enumerate(zip(raw, brute.repeated_bytes(raw, 200), strict=True)):
+            want.append((k % len(data), sum(flags), brute.runs(flags), bytes(c for c, f in zip(b, flags, strict=True) if not f)))
+        assert got == sorted(want)
+    assert most[0] < most[1]  # the footer's places did not go to merging tasks
+
+
 def test_loser_tree():
     import numpy as np
 
