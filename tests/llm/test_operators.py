@@ -46,21 +46,24 @@ def digest(data):
 
 
 def test_exact_dedup(docs, rows, empty):
-    got = exact_dedup.exact_dedup(docs).collect()
     groups = {}
     for i, t, *_ in rows:
         groups.setdefault(t or "", []).append(i)
-    assert sum(r["copies"] for r in got) == len(rows)
-    for r in got:
-        text = next(t for t in groups if digest(t.encode()) == r["text_sha256"])
-        ids = groups[text]
-        keep = max((i for i in ids if i is not None), default=None)
-        assert (r["keep_id"], r["group_size"], r["kept"]) == (keep, len(ids), r["doc_id"] == keep)
+    for keep, best in (("largest", max), ("smallest", min)):
+        got = [(r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in exact_dedup.exact_dedup(docs, keep=keep, fan_in=2).collect()]
+        want = []
+        for t, ids in groups.items():
+            chosen = best((i for i in ids if i is not None), default=None)
+            want += [(i, chosen, len(ids), i == chosen, digest(t.encode())) for i in ids]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
     assert exact_dedup.exact_dedup(empty).collect() == []
     kept = exact_dedup.survivors(docs)
     assert kept.columns == docs.columns and kept.count() == len(groups)
-    small = {r["doc_id"]: r["keep_id"] for r in exact_dedup.exact_dedup(docs, keep="smallest").collect()}
-    assert all(k is None or small[k] <= k for k in small if k != 5)
+
+
+def test_exact_dedup_merges_sorted_runs(docs):
+    plan = exact_dedup.exact_dedup(docs)._jdf.queryExecution().toString()
+    assert "SortAggregate" in plan and "HashAggregate" not in plan and "shufflepartitionidpassthrough" in plan
 
 
 def test_line_dedup(docs, rows, empty):
