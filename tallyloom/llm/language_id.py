@@ -5,16 +5,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNKNOWN = "und"
 DIMENSIONS, ORDER, SEED = 512, 3, 7
-#: Bounds of the fit: labelled documents per language that are expected in the sample, languages, tasks that sum them up.
-TRAIN_DOCS, MAX_LANGUAGES, TRAIN_TASKS = 3000, 1000, 24
-#: Characters that a task looks at together.
-BATCH_CHARS = 400_000
+#: Bound of the fit: labelled documents per language that are expected in the sample; tasks that sum them up.
+TRAIN_DOCS, TRAIN_TASKS = 3000, 24
+#: Characters that a task looks at together, and distinct n-grams of theirs.
+BATCH_CHARS, SLICE_GRAMS = 200_000, 8192
 
 _BLANK = 0
 
@@ -50,7 +50,7 @@ class Encoder:
 
     def _vectors(self, letters: np.ndarray) -> np.ndarray:
         new = [c for c in letters.tolist() if c not in self.known]
-        if len(self.known) + len(new) > 100_000:
+        if len(self.known) + len(new) > 20_000:
             self.known = {}
             new = letters.tolist()
         if new:
@@ -59,51 +59,63 @@ class Encoder:
 
     def _letters(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Code points of all texts, each between blanks, with runs of other characters as one blank; the texts' numbers."""
-        points = np.frombuffer((" " + "  ".join(texts) + " ").lower().encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        lengths = np.array([len(t.lower()) for t in texts], np.int64)
-        owner = np.repeat(np.arange(len(texts)), lengths + 2)
+        lowered = [t.lower() for t in texts]
+        points = np.frombuffer((" " + "  ".join(lowered) + " ").encode("utf-32-le", "surrogatepass"), "<u4")
+        owner = np.repeat(np.arange(len(texts), dtype=np.int32), np.array([len(t) + 2 for t in lowered], np.int64))
         seen = np.unique(points) if len(points) < 5000 else np.flatnonzero(np.bincount(points))
         for c in seen[self.is_letter[seen] == 0].tolist():
             self.is_letter[c] = 1 if chr(c).isalpha() else 2
-        points = np.where(self.is_letter[points] == 1, points, _BLANK)
+        points = np.where(self.is_letter[points] == 1, points, np.uint32(_BLANK))
         keep = np.ones(len(points), bool)
         keep[1:] = (points[1:] != _BLANK) | (points[:-1] != _BLANK) | (owner[1:] != owner[:-1])
         return points[keep], owner[keep]
 
     def bundles(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """A row of the bundle for each text, and how many n-grams with a letter it has."""
-        n, order = len(texts), self.order
+        """A row of the bundle for each text, and how many n-grams with a letter it has. The bundle is a sum, so it is
+        taken in slices: of BATCH_CHARS characters, and of SLICE_GRAMS distinct n-grams within those."""
         points, owner = self._letters(texts)
+        total, grams = np.zeros((len(texts), self.dimensions), np.float32), np.zeros(len(texts), np.int64)
+        for at in range(0, max(len(points) - self.order + 1, 0), BATCH_CHARS):
+            self._add(points[at : at + BATCH_CHARS + self.order - 1].astype(np.int64), owner[at : at + BATCH_CHARS + self.order - 1], total, grams)
+        return total, grams
+
+    def _add(self, points: np.ndarray, owner: np.ndarray, total: np.ndarray, grams: np.ndarray) -> None:
+        order, size = self.order, len(points) - self.order + 1
         alphabet = np.flatnonzero(np.bincount(points, minlength=1))
         place = np.zeros(int(alphabet[-1]) + 1, np.int64)
         place[alphabet] = np.arange(len(alphabet))
         codes = place[points]
-        size = len(points) - order + 1
-        if size <= 0:
-            return np.zeros((n, self.dimensions), np.float32), np.zeros(n, np.int64)
         gram = np.zeros(size, np.int64)
         some = np.zeros(size, bool)
         for k in range(order):
             gram = gram * len(alphabet) + codes[k : k + size]
             some |= points[k : k + size] != _BLANK
         one = (owner[:size] == owner[order - 1 :]) & some
-        gram, whose = gram[one], owner[:size][one]
-        total = len(alphabet) ** order
-        if total <= 4_000_000:
+        gram, whose = gram[one], owner[:size][one].astype(np.int64)
+        grams += np.bincount(whose, minlength=len(grams))
+        if len(alphabet) ** order <= 4_000_000:
             used = np.flatnonzero(np.bincount(gram, minlength=1))
-            column = np.zeros(total, np.int32)
+            column = np.zeros(len(alphabet) ** order, np.int32)
             column[used] = np.arange(len(used))
             at = column[gram]
         else:
             used, at = np.unique(gram, return_inverse=True)
-        counts = np.bincount(whose * len(used) + at, minlength=n * len(used)).reshape(n, len(used)).astype(np.float32)
         base = self._vectors(alphabet)
-        bound = np.ones((len(used), self.dimensions), np.float32)
-        rest = used.copy()
-        for k in range(order - 1, -1, -1):
-            bound *= np.roll(base, order - 1 - k, axis=1)[rest % len(alphabet)]
-            rest //= len(alphabet)
-        return counts @ bound, np.bincount(whose, minlength=n)
+        turned = [np.roll(base, order - 1 - k, axis=1) for k in range(order)]
+        first, n = int(whose.min(initial=0)), int(whose.max(initial=-1)) + 1
+        several = len(used) > SLICE_GRAMS
+        if several:  # by n-gram, so that a slice is a range
+            by = np.argsort(at, kind="stable")
+            at, whose = at[by], whose[by]
+        for low in range(0, len(used), SLICE_GRAMS):
+            part = used[low : low + SLICE_GRAMS]
+            a, b = np.searchsorted(at, [low, low + len(part)]) if several else (0, len(at))
+            counts = np.bincount((whose[a:b] - first) * len(part) + at[a:b] - low, minlength=(n - first) * len(part)).reshape(n - first, len(part))
+            bound, rest = np.ones((len(part), self.dimensions), np.float32), part.copy()
+            for k in range(order - 1, -1, -1):
+                bound *= turned[k][rest % len(alphabet)]
+                rest //= len(alphabet)
+            total[first:n] += counts.astype(np.float32) @ bound
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -144,17 +156,15 @@ def fit(
     """Prototypes from a sample that is expected to hold `per_language` of each language's documents (all, if fewer).
 
     Each document's bundle is scaled to length 1 before it is added, so long texts weigh no more than others. What all
-    languages have in common is taken off the prototypes. At most MAX_LANGUAGES languages, the most frequent, are learned.
+    languages have in common is taken off the prototypes. Every language that has a labelled text is learned; the prototypes, a
+    row of `dimensions` numbers a language, are the only thing that grows with them. Rows without text or language teach nothing; an
+    empty table, or one without labels, gives no languages.
     """
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
-    counts = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_lang").limit(MAX_LANGUAGES).collect()}
-    if not counts:
-        return Profiles([], np.zeros((0, dimensions), np.float32), np.zeros(dimensions, np.float32), dimensions, order, seed)
+    counts = rows.groupBy("_lang").agg((F.lit(float(per_language)) / F.count(F.lit(1))).alias("_share")).collect()  # a row a language, as the prototypes have
+    shares = labelled.sparkSession.createDataFrame([tuple(r) for r in counts], rows.select("_lang", F.lit(1.0).alias("_share")).schema)
     draw = F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share: Column = F.lit(None).cast("double")
-    for lang, n in counts.items():
-        share = F.when(F.col("_lang") == lang, min(1.0, per_language / n)).otherwise(share)
-    sample = rows.filter(draw < share).repartition(TRAIN_TASKS, "_id")
+    sample = rows.join(shares, "_lang").filter(draw < F.col("_share")).select("_id", "_text", "_lang").repartition(TRAIN_TASKS, "_id")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, found = _encoder(dimensions, order, seed), {}
@@ -167,8 +177,10 @@ def fit(
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([v.tobytes() for v in found.values()], pa.binary())], names=["_lang", "_sum"])
 
     total: dict[str, np.ndarray] = {}
-    for r in sample.select("_text", "_lang").mapInArrow(sums, "_lang string, _sum binary").collect():  # TRAIN_TASKS * MAX_LANGUAGES rows at most
+    for r in sample.select("_text", "_lang").mapInArrow(sums, "_lang string, _sum binary").toLocalIterator():  # TRAIN_TASKS rows a language at most
         total[r["_lang"]] = total.get(r["_lang"], 0) + np.frombuffer(bytes(r["_sum"]), np.float64)
+    if not total:
+        return Profiles([], np.zeros((0, dimensions), np.float32), np.zeros(dimensions, np.float32), dimensions, order, seed)
     languages = sorted(total)
     prototypes = _unit(np.stack([total[x] for x in languages]))
     common = prototypes.mean(0) if len(languages) > 1 else np.zeros(dimensions)
@@ -182,7 +194,8 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
     The document's bundle, less its part along what all languages share, is compared with every prototype by cosine; the
     nearest language wins, the first by name in a tie. score is that language's share of exp(8 * cosine) over all languages, so
     it lies between 0 and 1. A null or empty text, or one without letters, is `und` with score 0, as is every text if no language was learned. Rows that
-    repeat an id are judged one by one. An empty table gives no rows. Extra columns are ignored.
+    repeat an id are judged one by one. A text of any length is looked at whole, BATCH_CHARS characters at a time. An empty table gives no rows.
+    Extra columns are ignored.
     """
     keep = [id_col] if keep is None else keep
     taken = {"lang_pred", "score", "cosine"} & set(keep)

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from tallyloom.llm.shared import BLANKS, ascii_lower
 
 MIN_DOCS, MIN_CHARS = 10, 1
+#: Parts over which the places of one common line are spread when they meet its hash.
+SALTS = 32
 
 
 def line_key(line: Column) -> Column:
@@ -25,13 +27,13 @@ def dedup_lines(
 
     Lines are exploded and keyed by the 128-bit hash of their normalised form. Each document offers each of its hashes
     once, so counting documents per hash needs one shuffle with map-side sums and a line that a third of the documents
-    share is one row per task. Hashes over the threshold meet the (row key, position, hash) rows again in a join that
-    adaptive execution can split; only there and for the positions to drop do lines travel, as hashes. The text is cut
-    and put together again by position in one pass.
+    share is one row per task. Hashes over the threshold, few as they are, are copied to SALTS parts and meet the (row key, position, hash)
+    rows there, which are dealt to the parts by row, so no line's places gather in one task. Only hashes travel. The
+    text is cut and put together again by position in one pass.
 
     A null or empty text has one empty line. Keys shorter than `min_chars` code points are never dropped. Every row
     counts as a document; rows that repeat id and text get the same result each. A document that loses all lines has an empty
-    kept_text. Extra columns are ignored. An empty table gives no rows.
+    kept_text. Very long texts are split where they lie and never gathered. Extra columns are ignored. An empty table gives no rows.
     """
     base = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     lines = F.split("_text", "\n")
@@ -42,14 +44,14 @@ def dedup_lines(
         .groupBy("_key")
         .agg(F.count(F.lit(1)).alias("_docs"))
         .filter(F.col("_docs") >= min_docs)
-        .select("_key")
+        .select("_key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
     )
     placed = (
         base.select(*row, F.posexplode(lines).alias("_pos", "_line"))
-        .select("_row_id", "_row_text", "_pos", _digest(F.col("_line"), min_chars).alias("_key"))
+        .select("_row_id", "_row_text", "_pos", _digest(F.col("_line"), min_chars).alias("_key"), F.pmod(F.xxhash64("_row_id", "_row_text", "_pos"), F.lit(SALTS)).cast("int").alias("_salt"))
         .filter("_key is not null")
     )
-    dropped = placed.join(common, "_key").groupBy("_row_id", "_row_text").agg(F.collect_set("_pos").alias("_drop"))
+    dropped = placed.join(common, ["_key", "_salt"]).groupBy("_row_id", "_row_text").agg(F.collect_set("_pos").alias("_drop"))
     cut = base.select("*", *row).join(dropped, ["_row_id", "_row_text"], "left").withColumn("_lines", lines)
     places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
     kept = F.array_join(F.transform(places, lambda i: F.element_at(F.col("_lines"), i + 1)), "\n")

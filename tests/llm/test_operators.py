@@ -355,3 +355,36 @@ def test_toxicity(spark, docs, rows, empty):
     assert toxicity.fold(disguised) == word
     guarded = toxicity.Matcher(toxicity.Lexicon({"trash": 2.0}))
     assert guarded.hits("a trash here") and not guarded.hits("the trash can here") and not guarded.hits("trashy")
+
+
+def test_language_id_counts_in_slices(monkeypatch):
+    import numpy as np
+
+    some = ["ab cd ef gh" * 10, "hello world", "", "日本語 x", "Straße\n12 a", " "] * 3
+    whole = language_id.Encoder().bundles(some)
+    for name, value in (("SLICE_GRAMS", 7), ("BATCH_CHARS", 37)):
+        with monkeypatch.context() as m:
+            m.setattr(language_id, name, value)
+            part = language_id.Encoder().bundles(some)
+        assert np.allclose(whole[0], part[0]) and (whole[1] == part[1]).all()
+    # by the definition: the sum over 3-grams of the product of rotated letter vectors
+    encode, text = language_id.Encoder(dimensions=64), " ab cb "
+    want = np.zeros(64, np.float32)
+    points = [ord(c) if c.isalpha() else 0 for c in text]
+    for k in range(len(points) - 2):
+        vectors = [np.roll(language_id.letter_vectors(np.array([p]), 64, language_id.SEED)[0], 2 - j) for j, p in enumerate(points[k : k + 3])]
+        want += vectors[0] * vectors[1] * vectors[2]
+    assert np.allclose(encode.bundles(["ab cb"])[0][0], want)
+
+
+def test_language_id_with_many_languages_and_long_texts(spark):
+    rng = random.Random(3)
+    letters = [[chr(0x4E00 + 4 * k + j) for j in range(4)] for k in range(600)]
+    data = [(600 * j + k, "".join(rng.choice(letters[k]) for _ in range(200)), f"l{k:03}") for k in range(600) for j in range(2)]
+    table = spark.createDataFrame([*data, (9999, "abc", None), (9998, None, "l000")], "doc_id long, text string, lang string").repartition(4)
+    profiles = language_id.fit(table.filter("doc_id < 600"))
+    assert len(profiles.languages) == 600
+    told = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(table, profiles).collect()}
+    assert sum(told[i] == lang for i, _, lang in data) >= 0.98 * len(data)
+    long = spark.createDataFrame([(1, "".join(rng.choice(letters[7]) for _ in range(1000)) * 1000)], "doc_id long, text string")
+    assert language_id.predict(long, profiles).first()["lang_pred"] == "l007"
