@@ -248,24 +248,47 @@ def test_components(spark):
 def test_nearest(spark):
     rng = random.Random(5)
     vectors = [[rng.gauss(0, 1) + (k % 4) * 3 for _ in range(16)] for k in range(400)]
-    data = list(enumerate(vectors)) + [(400, None), (401, [0.0] * 16), (402, [float("nan")] * 16), (403, [None] * 16), (404, [1.0, 2.0]), (405, []), (50, vectors[50]), (406, vectors[50]), (407, vectors[50]), (None, vectors[1]), (50, vectors[60])]
+    data = list(enumerate(vectors)) + [(400, None), (401, [0.0] * 16), (402, [float("nan")] * 16), (403, [None] * 16), (404, [1.0, 2.0]), (405, []), (50, vectors[50]), (406, vectors[50]), (407, vectors[50]), (None, vectors[1]), (50, vectors[60]), *[(k, vectors[100]) for k in range(500, 560)]]
     table = spark.createDataFrame([(*x, 1.0, 2) for x in data], "vec_id long, embedding array<double>, score double, rank int").repartition(3)
-    got = nearest.nearest_neighbours(table, F.col("vec_id") % 50 == 0, block=90, query_chunk=3).collect()
-    good = list({(i, tuple(v)) for i, v in data if i is not None and v and len(v) == 16 and None not in v and all(map(math.isfinite, v)) and any(v)})
-    hit = total = 0
-    for i, v in good:
-        if i % 50 == 0:
-            want = sorted((brute.distance(v, w), j) for j, w in good if (j, w) != (i, v))[:10]
-            own = [(r["score"], r["vec_id"]) for r in got if r["query_id"] == i]
-            hit += sum(any(math.isclose(d, e) and j == k for e, k in own) for d, j in want)
-            total += 10
-    assert len(got) == total and hit >= 0.9 * total
-    assert {r["rank"] for r in got} == set(range(1, 11))
+    good = [(i, tuple(v)) for i, v in data if i is not None and v and len(v) == 16 and None not in v and all(map(math.isfinite, v)) and any(v)]
+    for block, chunk in ((90, 3), (5000, 5000)):
+        got = nearest.nearest_neighbours(table, F.col("vec_id") % 50 == 0, projected=8, block=block, query_chunk=chunk).collect()
+        hit = total = 0
+        for at, (i, v) in enumerate(good):
+            if i % 50 == 0:
+                want = sorted((brute.distance(v, w), j) for k, (j, w) in enumerate(good) if k != at)[:10]
+                own = [(r["score"], r["vec_id"]) for r in got if r["query_id"] == i]
+                hit += sum(any(math.isclose(d, e) and j == k for e, k in own) for d, j in want)
+                total += 10
+        assert len(got) == total and hit >= 0.9 * total
+        assert {r["rank"] for r in got} == set(range(1, 11))
     assert nearest.nearest_neighbours(table.limit(0), F.col("vec_id") % 50 == 0).collect() == []
     few = nearest.nearest_neighbours(table.filter("vec_id in (0, 1, 2)"), F.col("vec_id") == 0).collect()
     assert [r["vec_id"] for r in few] == [j for _, j in sorted((brute.distance(vectors[0], vectors[j]), j) for j in (1, 2))]
 
 
+def test_nearest_looks_at_half_of_all_vectors_at_most(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    data = [(r["vec_id"], r["embedding"]) for r in table.select("vec_id", "embedding").collect()]
+    import numpy as np
+
+    ids, vectors = np.array([i for i, _ in data]), np.array([v for _, v in data], np.float64)
+    for block, most in ((nearest.BLOCK, 0.5), (300, 0.75)):  # small trees know little of how near the nearest are
+        got = nearest.nearest_neighbours(table, F.col("vec_id") % 100 == 0, block=block).collect()
+        found, seen = {}, {}
+        for r in got:
+            found.setdefault(r["query_id"], set()).add(r["vec_id"])
+            seen[r["query_id"]] = r["n_verified"]
+        hits = []
+        for q, own in found.items():
+            far = np.sqrt(((vectors - vectors[ids == q][0]) ** 2).sum(1))
+            far[ids == q] = np.inf
+            hits.append(len(own & set(ids[np.lexsort((ids, far))[:10]].tolist())) / 10)
+        assert len(found) == sum(i % 100 == 0 for i, _ in data)
+        assert sum(hits) / len(hits) >= 0.9
+        assert sum(seen.values()) / len(seen) <= most * len(data)
+
+
 def test_lm_scoring(spark, docs, rows, empty):
     rng = random.Random(8)
     good = [" ".join(rng.choice(["alpha", "beta", "gamma"]) for _ in range(30)) for _ in range(40)]
