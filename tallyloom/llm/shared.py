@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from tallyloom.sources.tables import table
 
-__all__ = ["BLANKS", "UPPER", "ascii_lower", "durable", "partitions", "shared_folder", "table"]
+__all__ = ["BLANKS", "UPPER", "ascii_lower", "durable", "partitions", "shared_folder", "spread_join", "table"]
 
 #: The characters that separate words and are stripped from line ends: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+#: A key with more than 1 of HOT of the rows is spread over PARTS parts of a join.
+HOT, PARTS = 1024, 64
+
 _own_folder: list[str] = []
 
 
@@ -47,3 +50,18 @@ def ascii_lower(c: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", counted: DataFrame | None = None) -> DataFrame:
+    """left join right on keys, of which right has each at most once, without gathering a hot key's rows in one task.
+
+    Keys that hold more than 1 of HOT of the rows of `counted` (by default left, which is then read twice) are at most HOT, so that
+    list is broadcast. Rows of such a key are dealt to PARTS parts, to which the right row is copied.
+    """
+    counted = left if counted is None else counted
+    total = counted.count()
+    hot = F.broadcast(counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") * HOT > F.greatest(F.lit(total), F.lit(HOT))).select(*keys, F.lit(True).alias("_hot")))
+    rest = [F.col(c) for c in left.columns if c not in keys] or [F.rand(1)]
+    dealt = left.join(hot, keys, "left").withColumn("_part", F.when(F.col("_hot"), F.pmod(F.xxhash64(*rest), F.lit(PARTS)).cast("int")).otherwise(0)).drop("_hot")
+    copied = right.join(hot, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), PARTS - 1).otherwise(0)))).drop("_hot")
+    return dealt.join(copied, [*keys, "_part"], how).drop("_part")

@@ -218,6 +218,29 @@ def test_simhash_finds_near_copies(spark):
     assert all(got[k + 80] == got[k] == k for k in range(80))
 
 
+def test_near_duplicates_at_the_similarity_are_found_and_others_left(spark):
+    """Pairs of Jaccard similarity 0.8 and just over, and pairs of 0.7 to 0.79."""
+    rng = random.Random(21)
+    data, want = [], {}
+    for k in range(300):
+        w = [f"w{rng.randrange(9000)}" for _ in range(300)]
+        changed, least = list(w), 0.8 if k % 3 else 0.7
+        while True:
+            before = list(changed)
+            changed[rng.randrange(300)] = f"v{rng.randrange(9000)}"
+            one, other = ({tuple(x[j : j + 5]) for j in range(296)} for x in (w, changed))
+            if len(one & other) / len(one | other) < least:
+                changed = before
+                break
+        one, other = ({tuple(x[j : j + 5]) for j in range(296)} for x in (w, changed))
+        want[2 * k] = len(one & other) / len(one | other)
+        data += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(changed))]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    linked = [got[k + 1] == k for k, j in want.items() if j >= 0.8]
+    assert sum(linked) >= 0.95 * len(linked)
+    assert not any(got[k + 1] == k for k, j in want.items() if j < 0.8)
+
+
 def test_gray_index_with_dense_groups():
     import numpy as np
 
