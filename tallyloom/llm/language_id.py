@@ -13,6 +13,8 @@ UNKNOWN = "und"
 DIMENSIONS, ORDER, SEED = 512, 3, 7
 #: Bound of the fit: labelled documents per language that are expected in the sample; tasks that sum them up.
 TRAIN_DOCS, TRAIN_TASKS = 3000, 24
+#: Up to so many languages their shares are sent to all tasks; beyond, rows meet them by language.
+FEW_LANGUAGES = 10_000
 #: Characters that a task looks at together, and distinct n-grams of theirs.
 BATCH_CHARS, SLICE_GRAMS = 200_000, 8192
 
@@ -164,6 +166,7 @@ def fit(
     counts = rows.groupBy("_lang").agg((F.lit(float(per_language)) / F.count(F.lit(1))).alias("_share")).collect()  # a row a language, as the prototypes have
     shares = labelled.sparkSession.createDataFrame([tuple(r) for r in counts], rows.select("_lang", F.lit(1.0).alias("_share")).schema)
     draw = F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    shares = F.broadcast(shares) if len(counts) <= FEW_LANGUAGES else shares
     sample = rows.join(shares, "_lang").filter(draw < F.col("_share")).select("_id", "_text", "_lang").repartition(TRAIN_TASKS, "_id")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
