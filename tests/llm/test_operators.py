@@ -312,61 +312,75 @@ def test_nearest_looks_at_half_of_all_vectors_at_most(spark):
         assert sum(seen.values()) / len(seen) <= most * len(data)
 
 
-def test_lm_scoring(spark, docs, rows, empty):
-    rng = random.Random(8)
-    good = [" ".join(rng.choice(["alpha", "beta", "gamma"]) for _ in range(30)) for _ in range(40)]
-    bad = [" ".join(rng.choice(["delta", "eps", "gamma"]) for _ in range(30)) for _ in range(60)]
-    table = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string")
-    target = spark.createDataFrame([(k,) for k in [*range(20), None, 999]], "doc_id long")
-    models = lm_scoring.fit(table, target, vocabulary=32, endings=8)
-    got = {r["doc_id"]: r["score"] for r in lm_scoring.score(table, models).collect()}
-    assert min(got[k] for k in range(20, 40)) > max(got[k] for k in range(40, 100))
-    assert all(math.isclose(float(sum(2.0**-x for x in row)), 1.0, abs_tol=1e-3) for row in [*models.target, *models.background])
-    everything = lm_scoring.score(docs, models).collect()
-    assert len(everything) == len(rows) and all(math.isfinite(r["score"]) for r in everything)
-    assert {r["score"] for r in everything if not r["n_tokens"]} == {0.0}
-    assert lm_scoring.score(empty, lm_scoring.fit(empty, target)).collect() == []
-    words = lm_scoring.learn_vocabulary(table, vocabulary=11, endings=8)
-    assert words[0] == b"gamma" and len(words) == 2
+def test_lm_scoring(spark, docs, rows, empty, monkeypatch):
+    """Against the definition, with chunks of a few documents and few classes."""
+    import zlib
 
+    import xxhash
 
-def test_lm_scoring_tells_all_words_apart(spark):
     rng = random.Random(5)
-    fill = [" ".join(f"w{rng.randrange(900)}" for _ in range(40)) for _ in range(100)]
+    fill = [" ".join(f"w{int(rng.random() ** 2 * 300)}" for _ in range(40)) for _ in range(100)]
     texts = [*fill, "The quoxan runs", "the quoxan runs", "the blivan runs", "the blivan runs far", "of the of the of the", "  ", None]
-    table = spark.createDataFrame([*enumerate(texts), (100, texts[100]), (None, "the blivan")], "doc_id long, text string")
+    table = spark.createDataFrame([*enumerate(texts), (100, texts[100]), (None, "the blivan")], "doc_id long, text string").repartition(3)
     chosen = [*range(30), 100, 101]
-    tokens = [brute.words(brute.ascii_lower(t or "")) for _, t in table.collect()]
-    ids = [r["doc_id"] for r in table.collect()]
-
-    def fit(rows):
-        once, before, pairs = {}, {}, {}
-        for w in rows:
-            for a, b in zip([None, *w], w, strict=False):
-                for counts, key in ((once, b), (before, a), (pairs, (a, b))):
-                    counts[key] = counts.get(key, 0) + 1
-        return once, before, pairs
-
-    target, back = fit([w for i, w in zip(ids, tokens, strict=True) if i in chosen]), fit(tokens)
-    scale = sum(target[0].values()) / sum(back[0].values())
-
-    def loss(w, model, scale):
-        once, before, pairs = model
-        low = sum(once.values()) * scale + 0.5 * (len(back[0]) + 1)
-        rest = [50 * (once.get(b, 0) * scale + 0.5) / low for b in w]
-        each = [-math.log2((pairs.get((a, b), 0) * scale + r) / (before.get(a, 0) * scale + 50)) for a, b, r in zip([None, *w], w, rest, strict=False)]
-        return sum(each) / max(len(w), 1)
-
-    models = lm_scoring.fit(table, spark.createDataFrame([(k,) for k in chosen], "doc_id long"))
-    got = lm_scoring.score(table, models).collect()
-    want = [(i, len(w), loss(w, target, 1.0), loss(w, back, scale)) for i, w in zip(ids, tokens, strict=True)]
-    shown = sorted((str(r[0]), r[1], round(r[2], 6), round(r[3], 6)) for r in got)
-    assert shown == sorted((str(i), n, round(t, 6), round(b, 6)) for i, n, t, b in want)
-    assert all(math.isclose(r["score"], r["loss_background"] - r["loss_target"]) for r in got)
+    frequent, endings, prior, floor = 20, 8, 50.0, 0.5
+    held = [(r["doc_id"], [w.encode() for w in brute.words(brute.ascii_lower(r["text"] or ""))]) for r in table.collect()]
+    once = [{}, {}]
+    for i, w in held:
+        for k in (0, 1):
+            if k or i in chosen:
+                for x in w:
+                    once[k][x] = once[k].get(x, 0) + 1
+    signed = lambda w: (h := xxhash.xxh3_64_intdigest(w)) - (h >> 63 << 64)
+    own = sorted(once[1], key=lambda w: (-once[1][w], signed(w)))[:frequent]
+    code = {w: 1 + endings + own.index(w) if w in own else 1 + zlib.crc32(w[-2:]) % endings for w in once[1]}
+    size = 1 + endings + frequent
+    pairs = [[[0] * size for _ in range(size)] for _ in (0, 1)]
+    for i, w in held:
+        for k in (0, 1):
+            if k or i in chosen:
+                for x, y in zip([0, *[code[z] for z in w]], [code[z] for z in w], strict=False):
+                    pairs[k][x][y] += 1
+    scale = sum(once[0].values()) / sum(once[1].values())
+
+    def loss(w, k):
+        s, total = (scale if k else 1.0), 0.0
+        column = [sum(row[c] for row in pairs[k]) * s + floor for c in range(size)]
+        for x, z in zip([0, *[code[z] for z in w]], w, strict=False):
+            c = code[z]
+            total -= math.log2((pairs[k][x][c] * s + prior * column[c] / sum(column)) / (sum(pairs[k][x]) * s + prior))
+            if c <= endings:
+                mates = [v for v in once[1] if code[v] == c]
+                total -= math.log2((once[k].get(z, 0) * s + floor) / (sum(once[k].get(v, 0) for v in mates) * s + floor * (len(mates) + 1)))
+        return total / max(len(w), 1)
+
+    want = sorted((str(i), len(w), round(loss(w, 0), 4), round(loss(w, 1), 4)) for i, w in held)
+    target = spark.createDataFrame([(k,) for k in [*chosen, None, 999]], "doc_id long")
+    for chunk, listed in ((600, 40), (1 << 20, 20)):
+        monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", chunk)
+        models = lm_scoring.fit(table, target, frequent=frequent, endings=endings, listed=listed)
+        got = lm_scoring.score(table, models).collect()
+        assert sorted((str(r[0]), r[1], round(r[2], 4), round(r[3], 4)) for r in got) == want
+        assert all(math.isclose(r["score"], r["loss_background"] - r["loss_target"], abs_tol=1e-9) for r in got)
     one, other = (next(r["score"] for r in got if r["doc_id"] == k) for k in (101, 102))
     assert one > other
-    new = lm_scoring.score(spark.createDataFrame([(1, "unheard of")], table.schema), models).collect()
-    assert math.isclose(new[0]["loss_target"], loss(["unheard", "of"], target, 1.0), rel_tol=1e-9)
+    everything = lm_scoring.score(docs, models).collect()
+    assert len(everything) == len(rows) and all(math.isfinite(r["score"]) for r in everything)
+    assert {r["score"] for r in everything if not r["n_tokens"]} == {0.0}
+    assert lm_scoring.score(empty, lm_scoring.fit(empty, target)).collect() == []
+    assert len(lm_scoring.score(docs, lm_scoring.fit(empty, target)).collect()) == len(rows)
+
+
+def test_lm_scoring_tells_held_out_labels(spark):
+    got = queries.op9_lm_scoring(spark, "/root/testdata/sf0.1").filter("held_out")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").filter("quality is not null")
+    scored = sorted((r["score"], r["quality"]) for r in got.join(labels.dropDuplicates(["doc_id"]), "doc_id").select("score", "quality").collect())
+    good = sum(q for _, q in scored)
+    below = ranks = 0
+    for _, q in scored:
+        ranks += below if q else 0
+        below += 0 if q else 1
+    assert ranks / (good * (len(scored) - good)) > 0.95
 
 
 def test_language_id(spark, docs, rows, empty):
