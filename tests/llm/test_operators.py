@@ -134,7 +134,7 @@ def test_packing(docs, rows, empty):
     assert packing.pack_documents(docs, path).select(F.sum(F.when(F.col("start") == 0, 1).otherwise(0))).first()[0] == len(rows)
 
 
-def test_suffix_dedup(spark, docs, rows, empty):
+def test_suffix_dedup(spark, docs, rows, empty, monkeypatch):
     rng = random.Random(7)
     passages = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(20, 70))) for _ in range(6)]
     made = ["a" * 300, "ab" * 90, "é" * 40, "x\x00" * 30 + "\x00" * 40]
@@ -142,11 +142,14 @@ def test_suffix_dedup(spark, docs, rows, empty):
         made.append("".join(rng.choice(passages)[rng.randrange(8) : rng.randrange(20, 70)] if rng.random() < 0.5 else "".join(rng.choice("abcdé") for _ in range(rng.randrange(1, 50))) for _ in range(rng.randrange(1, 8))))
     for data, match, gram in ((texts(), 200, 32), (made, 40, 8)):
         table = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string").repartition(3)
-        got = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(table, match=match, gram=gram, per_merge=50).collect()}
         raw = [(t or "").encode() for t in data]
-        for k, (b, flags) in enumerate(zip(raw, brute.repeated_bytes(raw, match), strict=True)):
-            stay = bytes(c for c, f in zip(b, flags, strict=True) if not f)
-            assert (got[k]["n_bytes"], got[k]["n_removed"], got[k]["n_spans"], bytes(got[k]["kept"])) == (len(b), sum(flags), brute.runs(flags), stay)
+        want = brute.repeated_bytes(raw, match)
+        for how in ({"per_merge": 50}, {"per_merge": 10, "fan": 3, "merged_runs": 2, "piece": 4 * match}):
+            monkeypatch.setattr(suffix_dedup, "RUN", 50_000 if len(how) == 1 else 30)
+            got = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(table, match=match, gram=gram, **how).collect()}
+            for k, (b, flags) in enumerate(zip(raw, want, strict=True)):
+                stay = bytes(c for c, f in zip(b, flags, strict=True) if not f)
+                assert (got[k]["n_bytes"], got[k]["n_removed"], got[k]["n_spans"], bytes(got[k]["kept"])) == (len(b), sum(flags), brute.runs(flags), stay)
     assert suffix_dedup.remove_repeats(docs).count() == len(rows)
     assert suffix_dedup.remove_repeats(empty).collect() == []
 
@@ -159,13 +162,13 @@ def test_suffix_dedup_with_a_hot_gram(spark, monkeypatch):
     table = spark.createDataFrame([*enumerate(data), (0, data[0])], "doc_id long, text string").repartition(3)
     most = []
 
-    def runs(match, gram, targets, make=suffix_dedup._make_runs):
+    def runs(match, gram, targets, width, make=suffix_dedup._make_runs):
         most.append(targets)
-        return make(match, gram, targets)
+        return make(match, gram, targets, width)
 
     monkeypatch.setattr(suffix_dedup, "_make_runs", runs)
-    for hot in (20, 10**6):
-        got = sorted((r["doc_id"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.remove_repeats(table, per_merge=20, hot=hot).collect())
+    for hot, piece in ((20, 1 << 18), (10**6, 1 << 18), (20, 230)):
+        got = sorted((r["doc_id"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.remove_repeats(table, per_merge=20, hot=hot, piece=piece).collect())
         every = [*data, data[0]]
         raw = [(t or "").encode() for t in every]
         want = []
@@ -175,6 +178,14 @@ def test_suffix_dedup_with_a_hot_gram(spark, monkeypatch):
     assert most[0] < most[1]  # the footer's places did not go to merging tasks
 
 
+def test_suffix_dedup_with_long_texts(spark):
+    rng = random.Random(6)
+    noise = "".join(rng.choice("abcdefgh ") for _ in range(600_000))
+    data = [(1, "a" * 2_000_000), (2, noise), (3, noise[100_000:100_300] + "xyz" + noise[500_000:500_150])]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffix_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == {1: (2_000_000, 2_000_000, 1), 2: (600_000, 300, 1), 3: (453, 300, 1)}
+
+
 def test_loser_tree():
     import numpy as np
 
