@@ -12,18 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bound of the fit: labelled documents that are expected in the sample.
-TRAIN_DOCS, TRAIN_TASKS, MAX_ENTRIES = 40_000, 24, 4000
+TRAIN_DOCS, TRAIN_TASKS = 40_000, 24
 #: A word enters the lexicon if so many documents have it and toxic ones have it so much more often (log of the ratio).
 MIN_DOCS, MIN_WEIGHT = 5, 2.0
 #: A phrase around a lexicon word is an exception if so many clean documents have it and no toxic one does.
 EXCEPTION_DOCS = 5
 FLUSH_WORDS = 300_000
+#: A sample of up to so many ids is sent to all tasks; beyond, documents meet it by id.
+FEW_IDS = 500_000
 
 # Letters that look like Latin ones (Cyrillic and Greek), full-width letters by rule, digits and signs used for letters.
 LOOKALIKES = dict(zip("аеорсухіјѕԁһкмтвн", "aeopcyxijsdhkmtbh", strict=True)) | dict(zip("αενοριτκυχ", "aevopitkux", strict=True))
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
-#: Phrases in which a lexicon word does no harm.
-EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "class clown", "pond scum", "sympathetic and pathetic fallacy", "pathetic fallacy", "stupid mistake of mine")
 
 _LOOK = str.maketrans(LOOKALIKES | {chr(0xFF21 + k): chr(97 + k) for k in range(26)} | {chr(0xFF41 + k): chr(97 + k) for k in range(26)} | {"​": None, "‌": None, "‍": None, "­": None})
 _DIGIT = str.maketrans(DIGITS)
@@ -45,7 +45,7 @@ class Lexicon:
     """weights: by folded word. exceptions: folded phrases. model: of the logistic regression over features()."""
 
     weights: dict[str, float] = field(default_factory=dict)
-    exceptions: tuple[str, ...] = EXCEPTIONS
+    exceptions: tuple[str, ...] = ()
     model: tuple[float, ...] = (-4.0, 1.0, 1.0, -0.5)
 
 
@@ -75,9 +75,19 @@ class Matcher:
                 excused.append((begin, end))
             else:
                 words.append((begin, end, word, weight))
-        if excused:
-            words = [w for w in words if not any(a <= w[0] and w[1] <= b for a, b in excused)]
-        return words
+        return self._outside(words, excused) if excused else words
+
+    @staticmethod
+    def _outside(words: list, excused: list) -> list:
+        """Both come by their ends. Of the phrases that end no earlier than a word, the one that begins first decides, so one sweep from the back suffices."""
+        out, begin, k = [], math.inf, len(excused)
+        for word in reversed(words):
+            while k and excused[k - 1][1] >= word[1]:
+                k -= 1
+                begin = min(begin, excused[k][0])
+            if begin > word[0]:
+                out.append(word)
+        return out[::-1]
 
     def features(self, text: str | None) -> tuple[float, float, float, float]:
         """1, log of the summed weight, log of the distinct words' weight, log of the length in words."""
@@ -105,7 +115,7 @@ def _learned(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     """counts: (word, toxic, clean) in documents. The largest log ratios of the two smoothed rates."""
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
     good = counts.filter(F.col("toxic") + F.col("clean") >= MIN_DOCS).withColumn("weight", odds).filter(F.col("weight") >= MIN_WEIGHT)
-    return {r["word"]: r["weight"] for r in good.orderBy(F.desc("weight"), "word").limit(MAX_ENTRIES).collect()}
+    return {r["word"]: r["weight"] for r in good.orderBy(F.desc("weight"), "word").collect()}  # words of MIN_DOCS documents of the sample at least
 
 
 def fit(
@@ -115,13 +125,15 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     train_docs: int = TRAIN_DOCS,
-    exceptions: tuple[str, ...] = EXCEPTIONS,
+    exceptions: tuple[str, ...] = (),
 ) -> Lexicon:
     """Learns weights, exception phrases and the regression from a sample of labelled documents with text.
 
-    The sample is expected to hold `train_docs` documents (all, if fewer). Its halves are crossed: the regression learns
-    from features that the other half's lexicon gives, and the final lexicon comes from both. A document whose labels
-    disagree counts as toxic. Without any label of either kind the lexicon is empty.
+    The sample is expected to hold `train_docs` documents (all, if fewer); it is all that is held here, so its ids are sent to the tasks
+    and no text is shuffled but the sample's. Its halves are crossed: the regression learns
+    from features that the other half's lexicon gives, and the final lexicon comes from both. A phrase of a lexicon word and a neighbouring
+    word that several clean documents have and no toxic one is an exception, beside those given. A document whose labels
+    disagree counts as toxic. Null texts, labels and ids teach nothing. Without any label of either kind, or with an empty table, the lexicon is empty.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_toxic"))
     n = known.count()
@@ -130,7 +142,7 @@ def fit(
     sample = (
         docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text"))
         .filter(F.col("_text").isNotNull())
-        .join(some, F.col("_key") == F.col("_id"))
+        .join(F.broadcast(some) if train_docs <= FEW_IDS else some, F.col("_key") == F.col("_id"))
         .select("_text", (F.col("_toxic") > 0).alias("_y"), (F.pmod(F.xxhash64("_id", F.lit(12)), F.lit(2)) == 0).alias("_half"))
         .repartition(TRAIN_TASKS)
         .cache()
@@ -185,7 +197,7 @@ def fit(
 
     seen = sample.mapInArrow(look, "phrase string, y boolean, x array<double>").cache()
     phrases = seen.filter("phrase is not null").groupBy("phrase").agg(F.count_if(F.col("y")).alias("t"), F.count_if(~F.col("y")).alias("c"))
-    excused = [r["phrase"] for r in phrases.filter((F.col("t") == 0) & (F.col("c") >= EXCEPTION_DOCS)).orderBy(F.desc("c"), "phrase").limit(MAX_ENTRIES).collect()]
+    excused = [r["phrase"] for r in phrases.filter((F.col("t") == 0) & (F.col("c") >= EXCEPTION_DOCS)).orderBy(F.desc("c"), "phrase").collect()]
     rows = seen.filter("phrase is null").select("y", "x").toArrow()  # as many as the sample has documents
     x = np.array(rows.column("x").to_pylist())
     model = _logistic(x, np.array(rows.column("y").to_pylist(), float))
@@ -197,8 +209,8 @@ def fit(
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: (id, score, predicted, weight), from the whole text and nothing else.
 
-    score is between 0 and 1; a null or empty text is scored as one without hits. Rows that repeat an id are scored one
-    by one. An empty table gives no rows. Extra columns are ignored.
+    score is between 0 and 1; a null or empty text is scored as one without hits, and documents with equal features tie. Texts of any length are
+    matched in one sweep. Rows that repeat an id are scored one by one. An empty table gives no rows. Extra columns are ignored, whatever they are called.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 
@@ -209,7 +221,8 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32()), pa.array(np.expm1(x[:, 1]), pa.float64())],
-                names=[id_col, "score", "predicted", "weight"],
+                names=["_id", "score", "predicted", "weight"],
             )
 
-    return docs.select(id_col, F.col(text_col).alias("_text")).mapInArrow(judge, f"`{id_col}` {id_type}, score double, predicted int, weight double")
+    made = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(judge, f"_id {id_type}, score double, predicted int, weight double")
+    return made.withColumnRenamed("_id", id_col)

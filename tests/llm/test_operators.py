@@ -424,8 +424,38 @@ def test_toxicity(spark, docs, rows, empty):
     word = max(lexicon.weights, key=lexicon.weights.get)
     disguised = word.replace("o", "0").replace("i", "1").replace("a", "а")
     assert toxicity.fold(disguised) == word
-    guarded = toxicity.Matcher(toxicity.Lexicon({"trash": 2.0}))
-    assert guarded.hits("a trash here") and not guarded.hits("the trash can here") and not guarded.hits("trashy")
+    guarded = toxicity.Matcher(toxicity.Lexicon({"trash": 2.0}, ("trash can", "no trash at all")))
+    assert guarded.hits("a trash here") and not guarded.hits("the trash can here") and not guarded.hits("trashy") and not guarded.hits("no trash at all")
+    assert len(guarded.hits("trash can trash " * 50_000)) == 50_000
+
+
+def test_toxicity_learns_exceptions_and_agrees_with_a_plain_version(spark):
+    rng = random.Random(12)
+    fill = ["".join(rng.choice("bcdfg") for _ in range(5)) for _ in range(60)]
+    data, labels = [], []
+    for k in range(400):
+        w = [rng.choice(fill) for _ in range(30)]
+        toxic = int(k % 4 == 0)
+        if toxic:
+            w[rng.randrange(30)] = rng.choice(["zork", "z0rk", "ZORK"])
+            w[rng.randrange(30)] = "blarg"
+        elif k % 40 == 1:  # a lexicon word that does no harm here
+            at = rng.randrange(29)
+            w[at : at + 2] = ["zork", "salad"]
+        data.append((k, " ".join(w)))
+        labels.append((k, toxic))
+    table, known = spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    lexicon = toxicity.fit(table, known)
+    assert {"zork", "blarg"} <= set(lexicon.weights) and "zork salad" in lexicon.exceptions
+    got = {r["doc_id"]: r for r in toxicity.score(table, lexicon).collect()}
+    assert all(got[k]["predicted"] == y for k, y in labels)
+    for k, text in data:  # word by word, without an automaton
+        w = toxicity._WORD.findall(toxicity.fold(text))
+        excused = {p + j for e in lexicon.exceptions for p in range(len(w)) for n in (len(e.split()),) if w[p : p + n] == e.split() for j in range(n)}
+        hits = [x for j, x in enumerate(w) if x in lexicon.weights and j not in excused]
+        total, distinct = sum(lexicon.weights[x] for x in hits), sum(lexicon.weights[x] for x in set(hits))
+        x = (1.0, math.log1p(total), math.log1p(distinct), math.log1p(30))
+        assert math.isclose(got[k]["score"], 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, lexicon.model, strict=True)))), rel_tol=1e-9)
 
 
 def test_language_id_counts_in_slices(monkeypatch):
