@@ -115,6 +115,27 @@ def test_mixing(docs, rows, empty):
     assert mixing.mixed(empty).collect() == []
 
 
+def test_mixing_draws_counts_of_shards(spark):
+    sources = spark.createDataFrame([("a", 50_000), ("b", 700), (None, 3), ("c", 0)], "_source string, _takes long")
+    rows = mixing.shard_counts(sources, 4, 1).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, mixing.shard_counts(sources.repartition(3), 4, 1).collect()), key=repr)
+    for source, takes in (("a", 50_000), ("b", 700), (None, 3)):
+        own = sorted((r["_shard"], r["_first_take"], r["_count"]) for r in rows if r["_source"] == source)
+        at = 0
+        for shard, first, n in own:
+            assert first == at and n > 0 and 0 <= shard < 16
+            assert abs(n - takes / 16) < 6 * math.sqrt(takes / 16) + 3
+            at += n
+        assert at == takes
+    assert not [r for r in rows if r["_source"] == "c"]
+    large = [r["h"] for r in spark.range(2000).select(mixing.heads(F.lit(10**6).cast("long"), F.col("id")).alias("h")).collect()]
+    small = [r["h"] for r in spark.range(2000).select(mixing.heads(F.lit(100).cast("long"), F.col("id")).alias("h")).collect()]
+    for drawn, n in ((large, 10**6), (small, 100)):
+        mean = sum(drawn) / 2000
+        assert abs(mean - n / 2) < 5 * math.sqrt(n / 4 / 2000)
+        assert 0.9 < sum((x - mean) ** 2 for x in drawn) / 2000 / (n / 4) < 1.1
+
+
 def test_packing(docs, rows, empty):
     path = queries.tokenizer_path()
     from tokenizers import Tokenizer
