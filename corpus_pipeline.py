@@ -1,40 +1,49 @@
 """The corpus pipeline: language ID, exact dedup, near-dedup, mixing of sources, packing."""
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import exact_dedup, language_id, mixing, packing, simhash
 from tallyloom.llm.queries import tokenizer_path
-from tallyloom.llm.shared import durable, table
+from tallyloom.llm.shared import discard, durable, table, written
 
-#: Share of the nearest language's weight under which a document's language counts as not told.
-MIN_LANGUAGE_SCORE = 0.3
+#: Cosine with the nearest language's prototype up to which a document is of none of them. It does not depend on how many languages there are.
+MIN_COSINE = 0.02
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or whose nearest language is hardly nearer than the others, go."""
+    """Documents without letters, or that are hardly like any language, go: null, empty and blank texts among them. Texts of any length are judged whole, rows that
+    repeat stay or go alike, and columns pass through, whatever they are called. If no document has both text and language, nothing can be
+    told: a warning is given and all documents stay. An empty table stays empty."""
+    profiles = language_id.fit(docs)
+    if not profiles.languages:
+        warnings.warn("language ID: no labelled text, all documents stay", stacklevel=2)
+        return docs
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "text")
-    told = language_id.predict(whole, language_id.fit(docs), keep=["_doc"])
-    return told.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("_doc.*")
+    told = language_id.predict(whole, profiles, keep=["_doc"])
+    return told.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("cosine") > MIN_COSINE)).select("_doc.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
+    """Of equal texts, null being empty, the document with the largest id stays, one row of it if it repeats."""
     return exact_dedup.survivors(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by fingerprints of five-word shingles at a similarity of 0.8 or more, the one with the smallest id stays."""
+    """Of documents whose five-word shingles have a similarity of 0.8 or more, directly or by others between them, the one with the smallest id stays, a null id
+    only if there is no other. Candidates come from fingerprints (see simhash.near_duplicates); blank texts are alike."""
     return simhash.survivors(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, none more than twice."""
+    """Documents as often as the mix takes their words, none more than twice; documents without words once. A null source is one of its own."""
     return mixing.mixed(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 2048 tokens, with their ids."""
+    """Pieces of sequences of at most 2048 tokens, with their ids; null texts are empty, copies are packed each."""
     return packing.pack_documents(docs, tokenizer_path())
 
 
@@ -51,8 +60,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of documents, each written as Parquet in the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole of documents, each written as Parquet in the shared folder and read again. Only what the result still reads is left there."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for _, stage in STAGES[:-1]:
+        mark = len(written())
         docs = durable(stage(spark, docs, sf_dir))
+        made = written(mark)
+        discard(spark, before + made[:-1])  # what the stage read, and its own intermediate tables
+        before = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import durable, spread_join
+from tallyloom.llm.shared import discard, durable, spread_join, written
 
 MAX_ROUNDS = 60
 
@@ -17,6 +17,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     change, after a logarithmic number. Null ends and loops are no edges. Without edges there are no rows.
     """
     first = edges.select(F.greatest(a, b).alias("_u"), F.least(a, b).alias("_v")).filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+    spark, mark = edges.sparkSession, len(written())
     now = durable(first.distinct())
     before = None
     for _ in range(MAX_ROUNDS):
@@ -30,4 +31,5 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         smallest = large.groupBy("_u").agg(F.min("_v").alias("_m"))
         small = spread_join(large, smallest, ["_u"]).filter("_v != _m").select(F.col("_v").alias("_u"), F.col("_m").alias("_v"))
         now = durable(small.unionByName(smallest.select("_u", F.col("_m").alias("_v"))).distinct())
+        discard(spark, written(mark)[:-1])  # rounds before
     raise RuntimeError("components did not settle")

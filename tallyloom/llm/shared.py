@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.sources.tables import table
 
-__all__ = ["BLANKS", "UPPER", "ascii_lower", "durable", "partitions", "shared_folder", "spread_join", "table"]
+__all__ = ["BLANKS", "UPPER", "ascii_lower", "discard", "durable", "written", "partitions", "shared_folder", "spread_join", "table"]
 
 #: The characters that separate words and are stripped from line ends: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -18,6 +18,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HOT, PARTS = 1024, 64
 
 _own_folder: list[str] = []
+_written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,9 +41,23 @@ def durable(df: DataFrame, *partition_by: str) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written(since: int = 0) -> list[str]:
+    """Folders of durable tables that this process has written and not discarded, in order."""
+    return _written[since:]
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes folders of durable tables. What reads them must be done, or be written itself."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _written.remove(path)
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z only. lower() would also fold letters beyond ASCII, so it serves pure ASCII strings alone."""
     return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))

@@ -1,4 +1,5 @@
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, _doc int"
@@ -28,3 +29,14 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         now = stage(spark, now, "")
     assert now.collect() == []
+
+
+def test_no_labels_and_nothing_left_behind(spark):
+    from tallyloom.llm.shared import written
+
+    docs = spark.createDataFrame([(k, f"some words of text number {k}", None, "s", 9, 1.0, 2) for k in range(9)], SCHEMA)
+    with pytest.warns(UserWarning, match="no labelled text"):
+        assert corpus_pipeline.keep_known_language(spark, docs, "").count() == 9
+    mark = len(written())
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(written(mark)) <= 4  # the last stage's input and its own tables
