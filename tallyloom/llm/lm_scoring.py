@@ -16,7 +16,7 @@ FREQUENT, ENDINGS, LISTED = 767, 256, 16_384
 #: Weight of the unigram model in a bigram's probability, in words; what every class, and every word of one, is seen before any text.
 PRIOR, FLOOR = 50.0, 0.5
 #: Bytes of text that are counted or scored together; words that a task remembers from one such chunk to the next.
-CHUNK_BYTES, KNOWN_WORDS = 8 << 20, 500_000
+CHUNK_BYTES, KNOWN_WORDS = 8 << 20, 200_000
 #: Up to so many target ids go to all tasks (some 64 MB); beyond, documents meet them by id.
 FEW_IDS = 500_000
 
@@ -144,7 +144,10 @@ def fit(
 
     sums = marked.mapInArrow(count_words, "_w long, _e int, _t long, _n long").groupBy("_w").agg(F.min("_e").alias("_e"), F.sum("_t").alias("_t"), F.sum("_n").alias("_n"))
     counted = durable(sums)
-    top = counted.orderBy(F.desc("_n"), "_w").limit(listed).toArrow()
+    # How often the words to be listed occur at least, as a power of two, is told by one sum, so that few others meet in the last sort.
+    powers = sorted(counted.groupBy(F.floor(F.log2("_n")).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
+    least = next((r["p"] for k, r in enumerate(powers) if sum(x["n"] for x in powers[: k + 1]) >= listed), 0)
+    top = counted.filter(F.col("_n") >= 2**least).orderBy(F.desc("_n"), "_w").limit(listed).toArrow()
     hashes = top.column("_w").to_numpy()
     own = hashes[:frequent]
     size = 1 + endings + len(own)
