@@ -373,7 +373,7 @@ def t15(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("t18_slug", "SELECT p_partkey, substr(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-'), 1, 255) AS slug FROM part")
 def t18(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", trees.ascii_slug("p_name").alias("slug"))
+    return table(spark, sf_dir, "part").select("p_partkey", trees.ascii_slug(F.col("p_name")).alias("slug"))
 
 
 @query("t22_tokens", "SELECT doc_id, greatest(1, length(text) // 3)::INT AS tokens FROM documents")

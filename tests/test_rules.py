@@ -63,7 +63,7 @@ def test_codec_loses_only_escaped_line_ends(spark):
 
 
 def test_slugs_and_trees(spark):
-    assert value_of(spark, trees.ascii_slug("v"), v="Crème Brûlée — No. 5!") == "creme-brulee-no-5"
+    assert value_of(spark, trees.ascii_slug(F.col("v")), v="Crème Brûlée — No. 5!") == "creme-brulee-no-5"
     tree = {"type": "root", "children": [{"type": "p", "children": [{"type": "text", "value": "a"}, {"type": "text", "value": "b"}]}, {"type": "text", "value": "c"}]}
     assert value_of(spark, trees.rich_text("v"), v=json.dumps(tree)) == "a b c"
     assert value_of(spark, trees.rich_text("v"), v="{broken") is None
