@@ -97,22 +97,23 @@ def m08(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "m16_schema_diff",
     """
-WITH f AS (SELECT DISTINCT event_type AS type, substr(props, 3, 1) || (event_id % 7) AS field, CASE WHEN event_id % 2 = 0 THEN 'int' ELSE 'text' END AS kind, user_id FROM events),
-a AS (SELECT type, field, min(kind) AS kind FROM f WHERE type <> 'error' AND user_id % 3 = 0 AND field NOT LIKE '%2' GROUP BY ALL),
-b AS (SELECT type, field, max(kind) AS kind FROM f WHERE type <> 'click' AND user_id % 3 = 1 AND field NOT LIKE '%4' GROUP BY ALL),
+WITH f AS (SELECT event_type AS type, substr(props, 3, 1) || (event_id % 7) AS field, CASE WHEN event_id % 2 = 0 THEN 'int' ELSE 'text' END AS kind FROM events),
+a AS (SELECT type, field, min(kind) AS kind FROM f GROUP BY ALL),
+b AS (SELECT CASE type WHEN 'click' THEN 'tap' ELSE type END AS type, CASE WHEN field LIKE '%4' THEN field || 'x' ELSE field END AS field, max(kind) AS kind FROM f GROUP BY ALL),
 j AS (SELECT coalesce(a.type, b.type) AS type, coalesce(a.field, b.field) AS field, a.kind AS left_kind, b.kind AS right_kind FROM a FULL JOIN b ON a.type = b.type AND a.field = b.field),
 v AS (SELECT *, CASE WHEN type NOT IN (SELECT type FROM b) THEN 'missing_type' WHEN type NOT IN (SELECT type FROM a) THEN 'extra_type'
   WHEN right_kind IS NULL THEN 'missing' WHEN left_kind IS NULL THEN 'extra' WHEN left_kind <> right_kind THEN 'mismatch' END AS verdict FROM j)
 SELECT * FROM v WHERE verdict IS NOT NULL""",
 )
 def m16(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events on both sides; on the right one type and some fields have other names."""
     events = table(spark, sf_dir, "events")
     field = F.concat(F.substring("props", 3, 1), (F.col("event_id") % 7).cast("string"))
     kind = F.when(F.col("event_id") % 2 == 0, "int").otherwise("text")
-    rows = events.select(F.col("event_type").alias("type"), field.alias("field"), kind.alias("kind"), "user_id")
-    left = rows.filter("type <> 'error' and user_id % 3 = 0 and field not like '%2'").groupBy("type", "field").agg(F.min("kind").alias("kind"))
-    right = rows.filter("type <> 'click' and user_id % 3 = 1 and field not like '%4'").groupBy("type", "field").agg(F.max("kind").alias("kind"))
-    return match.schema_difference(left, right)
+    rows = events.select(F.col("event_type").alias("type"), field.alias("field"), kind.alias("kind"))
+    left = rows.groupBy("type", "field").agg(F.min("kind").alias("kind"))
+    renamed = rows.select(F.when(F.col("type") == "click", "tap").otherwise(F.col("type")).alias("type"), F.when(F.col("field").like("%4"), F.concat("field", F.lit("x"))).otherwise(F.col("field")).alias("field"), "kind")
+    return match.schema_difference(left, renamed.groupBy("type", "field").agg(F.max("kind").alias("kind")))
 
 
 @query("m18_dangling", "SELECT l_orderkey, l_linenumber, l_partkey + 150 AS p_partkey FROM lineitem WHERE l_partkey + 150 NOT IN (SELECT p_partkey FROM part)")
@@ -124,17 +125,17 @@ def m18(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "m19_jaccard_best",
     """
-WITH l AS (SELECT DISTINCT o_custkey AS id, l_suppkey AS item FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderpriority LIKE '1%'),
-r AS (SELECT DISTINCT o_custkey AS id, l_suppkey AS item FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderpriority LIKE '2%'),
-ln AS (SELECT id, count(*) AS n FROM l GROUP BY id), rn AS (SELECT id, count(*) AS n FROM r GROUP BY id),
-c AS (SELECT l.id AS left_id, r.id AS right_id, count(*) AS n_both FROM l JOIN r USING (item) GROUP BY ALL),
-s AS (SELECT left_id, right_id, n_both::DOUBLE / (ln.n + rn.n - n_both)::DOUBLE AS score FROM c JOIN ln ON ln.id = left_id JOIN rn ON rn.id = right_id)
-SELECT left_id, right_id, score FROM s WHERE score >= 0.3 QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY score DESC, right_id) = 1""",
+WITH t AS (SELECT DISTINCT o_orderkey AS id, l_partkey AS item, o_orderpriority < '3' AS is_left FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+n AS (SELECT id, count(*) AS n FROM t GROUP BY id),
+c AS (SELECT l.id AS left_id, r.id AS right_id, count(*) AS n_both FROM t l JOIN t r ON l.item = r.item AND l.is_left AND NOT r.is_left GROUP BY ALL),
+s AS (SELECT left_id, right_id, n_both::DOUBLE / (ln.n + rn.n - n_both)::DOUBLE AS score FROM c JOIN n ln ON ln.id = left_id JOIN n rn ON rn.id = right_id)
+SELECT left_id, right_id, score FROM s WHERE score >= 0.4 QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY score DESC, right_id) = 1""",
 )
 def m19(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of the two most urgent priorities against all others, by the parts that they hold."""
     lines = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-    sets = lambda like: lines.filter(F.col("o_orderpriority").like(like)).groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set("l_suppkey").alias("items"))
-    return match.jaccard_best(sets("1%"), sets("2%"), 0.3)
+    sets = lines.groupBy(F.col("o_orderkey").alias("id"), (F.col("o_orderpriority") < "3").alias("_left")).agg(F.collect_set("l_partkey").alias("items"))
+    return match.jaccard_best(sets.filter("_left"), sets.filter("not _left"), 0.4)
 
 
 @query(
@@ -183,24 +184,24 @@ def m29(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "m41_upsert",
     """
-WITH base AS (SELECT doc_id, quality FROM labels WHERE doc_id % 5 <> 0), change AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE 1 - quality END AS quality FROM labels WHERE doc_id % 3 = 0)
+WITH change AS (SELECT doc_id + 7 AS doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE 1 - quality END AS quality FROM labels)
 SELECT coalesce(b.doc_id, c.doc_id) AS doc_id, coalesce(c.quality, b.quality) AS quality,
   CASE WHEN b.doc_id IS NULL THEN 'insert' WHEN c.quality IS NOT NULL AND c.quality IS DISTINCT FROM b.quality THEN 'update' ELSE 'keep' END AS action
-FROM base b FULL JOIN change c ON b.doc_id = c.doc_id""",
+FROM labels b FULL JOIN change c ON b.doc_id = c.doc_id""",
 )
 def m41(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All labels, and all labels changed under other ids."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    change = labels.filter("doc_id % 3 = 0").withColumn("quality", F.when(F.col("doc_id") % 7 != 0, 1 - F.col("quality")))
-    return match.upsert(labels.filter("doc_id % 5 <> 0"), change, ["doc_id"], "quality")
+    change = labels.select((F.col("doc_id") + 7).alias("doc_id"), F.when(F.col("doc_id") % 7 != 0, 1 - F.col("quality")).alias("quality"))
+    return match.upsert(labels, change, ["doc_id"], "quality")
 
 
 # --- choice of rows -----------------------------------------------------------------------------------------------------
 
 
-@query("a04_duplicates", "SELECT sha256(text) AS text_sha, count(*) AS n, count(*) - 1 AS wasted FROM documents WHERE text <> '' GROUP BY text HAVING count(*) > 1")
+@query("a04_duplicates", "SELECT CASE WHEN text IS NOT NULL THEN sha256(text) END AS text_sha, count(*) AS n, count(*) - 1 AS wasted FROM documents GROUP BY text HAVING count(*) > 1")
 def a04(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").filter("text <> ''").select(F.sha2("text", 256).alias("text_sha"))
-    return dedup.repeated_values(docs, "text_sha")
+    return dedup.repeated_values(table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("text_sha")), "text_sha")
 
 
 @query("a13_first_wins", "SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1")
@@ -381,9 +382,15 @@ def t22(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.estimated_tokens(F.col("text")).alias("tokens"))
 
 
-@query("t25_codec", "SELECT doc_id, doc_id::VARCHAR AS id, sha256(text) AS value_sha FROM documents WHERE text NOT LIKE '%\\%'")
+@query(
+    "t25_codec",
+    r"""
+WITH e AS (SELECT doc_id, regexp_replace(replace(replace(text, '\', '\'), chr(10), '\n'), '[ \t\n\x0B\f\r]+$', '') AS line FROM documents)
+SELECT doc_id, CASE WHEN line IS NOT NULL THEN doc_id::VARCHAR END AS id, CASE WHEN line IS NOT NULL THEN sha256(replace(replace(line, '\n', chr(10)), '\', '\')) END AS value_sha FROM e""",
+)
 def t25(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").filter(~F.col("text").contains("\\"))
+    """All documents there and back. Null texts have no record; a backslash before an n comes back as a line end."""
+    docs = table(spark, sf_dir, "documents")
     line = text.encoded_record(F.col("doc_id").cast("string"), F.col("text"))
     back = docs.select("doc_id", text.decoded_record(line).alias("r"))
     return back.select("doc_id", F.col("r.id").alias("id"), F.sha2("r.value", 256).alias("value_sha"))
@@ -392,14 +399,19 @@ def t25(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "f01_row_class",
     r"""
-WITH v AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN url WHEN 1 THEN page_id::VARCHAR WHEN 2 THEN '' WHEN 3 THEN 'deadbeef' || page_id ELSE 'Some words ' || page_id END AS value,
+WITH v AS (SELECT page_id, CASE page_id % 10 WHEN 0 THEN url WHEN 1 THEN page_id::VARCHAR WHEN 2 THEN '' WHEN 3 THEN 'deadbeef' || page_id WHEN 4 THEN '["gid://x/1","' || page_id || '"]' WHEN 5 THEN '["gid://x/1",' || page_id || ']'
+    WHEN 6 THEN '<p>{{ a.b }} {{ c }};</p>' WHEN 7 THEN '{"reviewCount":' || page_id || '}' WHEN 8 THEN '{{ a }} left' ELSE 'Some words ' || page_id END AS value,
   CASE page_id % 7 WHEN 0 THEN 'handle' WHEN 1 THEN 'hero.image' WHEN 2 THEN 'footer.link' ELSE 'title' END AS field, CASE WHEN page_id % 2 = 0 THEN 'texte' END AS translated FROM pages)
-SELECT page_id, CASE WHEN trim(value) = '' OR field = 'handle' OR regexp_matches(value, '^(https?://|/)') OR regexp_full_match(value, '-?[0-9]+\.?[0-9]*') OR regexp_full_match(value, '[0-9a-f]{8,}') THEN 'skip'
+SELECT page_id, CASE WHEN trim(value) = '' OR field = 'handle' OR regexp_matches(value, '^(https?://|/)') OR regexp_full_match(value, '-?[0-9]+\.?[0-9]*') OR regexp_full_match(value, '[0-9a-f]{8,}')
+    OR regexp_full_match(value, '\["gid://x/1","[0-9]+"\]') OR value = '<p>{{ a.b }} {{ c }};</p>' OR value LIKE '{"reviewCount"%' THEN 'skip'
   WHEN field LIKE '%.image' OR field LIKE '%.link' THEN 'keep' WHEN translated <> '' AND translated <> value THEN 'done' ELSE 'translate' END AS class FROM v""",
 )
 def f01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("page_id")
-    value = F.when(k % 5 == 0, F.col("url")).when(k % 5 == 1, k.cast("string")).when(k % 5 == 2, "").when(k % 5 == 3, F.concat(F.lit("deadbeef"), k.cast("string"))).otherwise(F.concat(F.lit("Some words "), k.cast("string")))
+    """Fields and values of every kind, by page."""
+    k, number = F.col("page_id"), F.col("page_id").cast("string")
+    kinds = (F.col("url"), number, F.lit(""), F.concat(F.lit("deadbeef"), number), F.concat(F.lit('["gid://x/1","'), number, F.lit('"]')), F.concat(F.lit('["gid://x/1",'), number, F.lit("]")), F.lit("<p>{{ a.b }} {{ c }};</p>"),
+             F.concat(F.lit('{"reviewCount":'), number, F.lit("}")), F.lit("{{ a }} left"), F.concat(F.lit("Some words "), number))
+    value = F.element_at(F.array(*kinds), (k % 10 + 1).cast("int"))
     field = F.when(k % 7 == 0, "handle").when(k % 7 == 1, "hero.image").when(k % 7 == 2, "footer.link").otherwise("title")
     return table(spark, sf_dir, "pages").select("page_id", classify.row_class(field, value, F.when(k % 2 == 0, "texte")).alias("class"))
 
@@ -407,14 +419,16 @@ def f01(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "f09_status",
     r"""
-WITH p AS (SELECT a.doc_id, a.text AS s, b.text AS t FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1 AND b.doc_id % 4 <> 0)
-SELECT doc_id, CASE WHEN trim(s) = '' OR regexp_matches(s, '^(https?://|/)') OR regexp_full_match(trim(s), '-?[0-9]+\.?[0-9]*') OR regexp_full_match(trim(s), '[0-9a-f]{8,}') THEN 'SKIP'
-  WHEN t IS NULL OR t = '' THEN 'MISSING' WHEN s = t THEN 'IDENTICAL' WHEN NOT regexp_matches(t, '[a-zA-ZÀ-ÿ]') THEN 'OK' ELSE 'NOT_ARABIC' END AS status FROM p""".replace("\\u00c0-\\u00ff", "À-ÿ"),
+WITH p AS (SELECT doc_id, text AS s, CASE doc_id % 6 WHEN 0 THEN NULL WHEN 1 THEN text WHEN 2 THEN 'هذا نص عربي كامل' WHEN 3 THEN 'نص half of it' WHEN 4 THEN '12345' ELSE 'only Latin here' END AS t, doc_id % 5 = 0 AS outdated FROM documents)
+SELECT doc_id, CASE WHEN s IS NULL OR trim(s) = '' OR regexp_matches(s, '^(https?://|/)') OR regexp_full_match(trim(s), '-?[0-9]+\.?[0-9]*') OR regexp_full_match(trim(s), '[0-9a-f]{8,}') THEN 'SKIP'
+  WHEN t IS NULL THEN 'MISSING' WHEN s = t THEN 'IDENTICAL' WHEN t = '12345' THEN CASE WHEN outdated AND FALSE THEN 'OUTDATED' ELSE 'OK' END WHEN NOT regexp_matches(t, '[؀-ۿ]') THEN 'NOT_ARABIC' WHEN t LIKE 'نص half%' THEN 'MIXED_LANGUAGE'
+  WHEN outdated THEN 'OUTDATED' ELSE 'OK' END AS status FROM p""",
 )
 def f09(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    other = docs.filter("doc_id % 4 <> 0").select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("_t"))
-    return docs.select("doc_id", "text").join(other, "doc_id", "left").select("doc_id", classify.translation_status(F.col("text"), F.col("_t"), F.lit("title"), F.lit(False)).alias("status"))
+    """Translations of every kind, by document: none, the source, Arabic, mixed, without letters, Latin."""
+    k = F.col("doc_id") % 6
+    other = F.when(k == 0, None).when(k == 1, F.col("text")).when(k == 2, "هذا نص عربي كامل").when(k == 3, "نص half of it").when(k == 4, "12345").otherwise("only Latin here")
+    return table(spark, sf_dir, "documents").select("doc_id", classify.translation_status(F.col("text"), other, F.lit("title"), F.col("doc_id") % 5 == 0).alias("status"))
 
 
 @query("f19_truncated", "SELECT conv_id, turn, length(text) > 50 AND length(lead(text) OVER w) < 0.2 * length(text) AS truncated FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
@@ -487,3 +501,6 @@ def j09(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def a12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j09(spark, sf_dir).groupBy("from_type", "to_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+from tallyloom.plans import translation  # noqa: E402, F401 (registers its queries)
