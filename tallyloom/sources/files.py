@@ -29,7 +29,7 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
 def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """CSV files with a header, quoted line ends and doubled quotes, with or without a byte order mark; all columns as text and _row, the row's place. Empty fields are
     empty texts, as the format can't tell them from nulls."""
-    rows = spark.read.options(header=True, multiLine=True, escape='"', encoding=encoding, emptyValue="", nullValue="\u0000").csv(path)
+    rows = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding=encoding, emptyValue="", nullValue="\u0000", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     named = rows.toDF(*[c.removeprefix(BOM).strip('"') for c in rows.columns])
     return named.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in named.columns]).withColumn("_row", F.monotonically_increasing_id())
 
@@ -38,7 +38,7 @@ def write_csv(df: DataFrame, path: str, bom: bool = True, mode: str = "overwrite
     """Header, quotes only where needed, quotes doubled; with a byte order mark at the head of every file. Nulls are written empty. Columns that begin with _ stay out."""
     kept = [c for c in df.columns if not c.startswith("_")]
     names = [BOM + c if bom and k == 0 else c for k, c in enumerate(kept)]
-    df.select(*[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(kept, names, strict=True)]).write.mode(mode).options(header=True, escape='"', emptyValue="").csv(path)
+    df.select(*[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(kept, names, strict=True)]).write.mode(mode).csv(path, header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -52,13 +52,13 @@ def uncommented(c: Column) -> Column:
 
 def read_commented_json(spark: SparkSession, path: str) -> DataFrame:
     """(file, value): each file's JSON as a variant, block comments and raw control characters aside; null if it is no JSON."""
-    files = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), uncommented(F.col("value")).alias("_v"))
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), uncommented(F.col("value")).alias("_v"))
     return files.select("file", F.try_parse_json(F.regexp_replace("_v", "[\\x00-\\x1f]", " ")).alias("value"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_number, line) of text files, numbers from 1."""
-    files = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("_p", "line"))
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("_p", "line"))
     return files.select("file", (F.col("_p") + 1).alias("line_number"), "line")
 
 
