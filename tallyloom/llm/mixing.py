@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.shared import durable, partitions
 
 WEIGHTS, TOTAL_SHARE, MAX_REPEATS = (3, 1, 2), 1.5, 2.0
-BLOCK_WORDS, SHARD_BLOCKS, CHUNK_DOCS, SLOT_RUN, SEED = 64, 4096, 20_000, 8192, 20240229
+BLOCK_WORDS, SHARD_BLOCKS, SLOT_RUN, SEED = 64, 4096, 8192, 20240229
 #: Coin throws that are counted one by one; more are drawn by the normal law.
 THROWS = 1024
 #: Feistel rounds, and how often a value outside the domain is sent through again.
@@ -71,6 +71,11 @@ def permuted(index: Column, size: Column, key: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), F.lit(-1).cast("long"), lambda acc, _: F.when((acc >= 0) & (acc < size), acc).otherwise(once(F.when(acc < 0, index).otherwise(acc))))
 
 
+def chunk_count(n: int) -> int:
+    """Into so many chunks each source is dealt: the root of the number of rows, so that neither a chunk nor a source's list of chunks grows with all of it."""
+    return max(1, math.isqrt(n))
+
+
 def _offsets(docs: DataFrame, chunks: int, seed: int) -> DataFrame:
     """Adds _start, each document's place in the word stream of its source, without bringing a source into one task:
     documents go to pseudorandom chunks, chunk totals are summed up per source, documents within their chunk."""
@@ -130,7 +135,6 @@ def mix_plan(
     max_repeats: float = MAX_REPEATS,
     block: int = BLOCK_WORDS,
     shard_blocks: int = SHARD_BLOCKS,
-    chunk_docs: int = CHUNK_DOCS,
     seed: int = SEED,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with their place, sources with target and blocks, the mix: a row per output slot).
@@ -159,7 +163,7 @@ def mix_plan(
         .withColumn("_block", permuted(F.pmod(F.col("_take"), F.col("_blocks")), F.col("_blocks"), F.xxhash64("_source", "_pass", F.lit(seed))))
         .select("_source", "_shard", "_slot", "_pass", "_block")
     )
-    return _offsets(base, max(1, n // chunk_docs), seed), targets, mix
+    return _offsets(base, chunk_count(n), seed), targets, mix
 
 
 def _taken(docs: DataFrame, id_col: str, text_col: str, source_col: str, block: int, **how) -> tuple[DataFrame, DataFrame]:
@@ -203,7 +207,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK_WORDS, seed: int = SEED, **how) -> DataFrame:
     """The documents of the mix with all their columns: each as often as the mix takes its words, the broken part of that
-    number rounded up or down so that a source keeps its target to within one document for each CHUNK_DOCS.
+    number rounded up or down so that a chunk of a source keeps its target to within one document.
 
     Rounding goes along a chain: within a source's chunk of documents, in an order drawn by hash, a document gets as many copies as keep the copied words
     nearest to the words taken so far. No document is copied more than max_repeats times, rounded up. Documents
@@ -212,10 +216,11 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     taken, _ = _taken(docs, id_col, text_col, source_col, block, seed=seed, **how)
     one = durable(taken.groupBy("_id", "_text_key", "_source", "_size").agg(F.min("_taken").alias("_taken")).withColumn("_draw", F.xxhash64("_id", "_text_key", F.lit(seed + 1))))
     n = one.count()
-    order = Window.partitionBy("_source", F.pmod(F.col("_draw"), F.lit(max(1, n // CHUNK_DOCS)))).orderBy("_draw", "_id", "_text_key").rowsBetween(Window.unboundedPreceding, 0)
+    chunk = F.pmod(F.col("_draw"), F.lit(chunk_count(n)))
+    order = Window.partitionBy("_source", chunk).orderBy("_draw", "_id", "_text_key").rowsBetween(Window.unboundedPreceding, 0)
     # With shares below one another's size, the copies owed are the rise of the rounded running sum of shares.
     share = F.when(F.col("_size") > 0, F.col("_taken") / F.col("_size")).otherwise(0.0)
-    begin = F.pmod(F.xxhash64("_source", F.lit(seed + 2)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    begin = F.pmod(F.xxhash64("_source", chunk, F.lit(seed + 2)), F.lit(1 << 20)) / F.lit(float(1 << 20))
     upto = F.sum(share).over(order) + begin
     times = (
         one.withColumn("_upto", upto)
