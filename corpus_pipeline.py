@@ -21,8 +21,8 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     if not profiles.languages:
         warnings.warn("language ID: no labelled text, all documents stay", stacklevel=2)
         return docs
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "text")
-    told = language_id.predict(whole, profiles, keep=["_doc"])
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    told = language_id.predict(whole, profiles, text_col="_doc.text", keep=["_doc"])
     return told.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("cosine") > MIN_COSINE)).select("_doc.*")
 
 

@@ -192,7 +192,7 @@ def fit(
 
 def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """One row per document: (id, lang_pred, score, cosine), from the whole text and nothing else. keep: columns of docs that
-    pass through in place of the id; they must not be named like the results.
+    pass through in place of the id; they must not be named like the results. A text_col within a kept struct (as in "doc.text") is taken from there, so that it is sent once.
 
     The document's bundle, less its part along what all languages share, is compared with every prototype by cosine; the
     nearest language wins, the first by name in a tie. score is that language's share of exp(8 * cosine) over all languages, so
@@ -208,10 +208,14 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
     schema = T.StructType([*passed, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("cosine", T.DoubleType())])
     names = [*profiles.languages, UNKNOWN]
 
+    inner = next((k for k, c in enumerate(keep) if text_col.startswith(f"{c}.")), None)
+    field = "" if inner is None else text_col[len(keep[inner]) + 1 :]
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(profiles.dimensions, profiles.order, profiles.seed)
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+            column = batch.column(len(keep)) if inner is None else batch.column(inner).field(field)
+            texts = [t or "" for t in column.to_pylist()]
             best, score, cosine = np.full(len(texts), len(names) - 1), np.zeros(len(texts)), np.zeros(len(texts))
             for a, b in _batched(texts) if len(names) > 1 else ():
                 bundle, grams = encode.bundles(texts[a:b])
@@ -224,9 +228,9 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
                 score[a:b][some] = (power[every, top] / power.sum(1))[some]
                 cosine[a:b][some] = near[every, top][some]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([names[k] for k in best], pa.string()), pa.array(score, pa.float64()), pa.array(cosine, pa.float64())],
+                [*batch.columns[: len(keep)], pa.array([names[k] for k in best], pa.string()), pa.array(score, pa.float64()), pa.array(cosine, pa.float64())],
                 names=schema.names,
             )
 
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(keep)], F.col(text_col).alias("_text"))
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(keep)], *([F.col(text_col).alias("_text")] if inner is None else []))
     return rows.mapInArrow(judge, schema).withColumnsRenamed({f"_{k}": c for k, c in enumerate(keep)})
