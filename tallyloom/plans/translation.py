@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import classify, language, people, text, trees
-from tallyloom.operators import match, reshape, rows
+from tallyloom.operators import changes, match, reshape, rows
 from tallyloom.plans.catalog import query, second_catalog
 from tallyloom.sources import files
 from tallyloom.sources.tables import table
@@ -428,3 +428,103 @@ def a28(spark: SparkSession, sf_dir: str) -> DataFrame:
 def l06(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter("doc_id % 2 = 0").select("doc_id", "quality")
     return reshape.append_new(labels, table(spark, sf_dir, "documents").select("doc_id", F.lit(2).alias("quality")), "doc_id")
+
+
+# --- plans of changes ---------------------------------------------------------------------------------------------------------
+
+
+@query(
+    "k04_batches",
+    """WITH n AS (SELECT o_custkey, o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 4 AS batch FROM orders)
+SELECT o_custkey, batch, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS keys FROM n GROUP BY ALL""",
+)
+def k04(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = changes.batches(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", 4, "o_orderkey")
+    return plan.select("o_custkey", "batch", F.array_join(F.transform("rows", lambda r: r["o_orderkey"].cast("string")), ",").alias("keys"))
+
+
+@query(
+    "k05_by_owner",
+    """WITH f AS (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem)
+SELECT CASE WHEN l_linenumber = 1 THEN l_orderkey ELSE l_partkey + 1000000000 END AS resource_id, CASE WHEN l_linenumber = 1 THEN 'line' ELSE 'flag' END AS key, l_returnflag AS translation FROM f WHERE l_linenumber <> 2""",
+)
+def k05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First lines go to their order, second ones have lost theirs, others stay."""
+    lines = table(spark, sf_dir, "lineitem")
+    own = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_own")
+    rows_ = lines.select(own, F.when(F.col("l_linenumber") < 3, -own).otherwise(F.col("l_partkey") + 1_000_000_000).alias("resource_id"), F.lit("flag").alias("key"), F.col("l_returnflag").alias("translation"))
+    owners = lines.filter("l_linenumber < 3").select((-own).alias("resource_id"), F.when(F.col("l_linenumber") == 1, F.col("l_orderkey")).alias("owner_id"), F.when(F.col("l_linenumber") == 1, "line").alias("owner_key"))
+    return changes.by_owner(rows_.drop("_own"), owners)
+
+
+@query(
+    "m21_price_changes",
+    """WITH p AS (SELECT p_partkey, round_even(p_retailprice, 0) AS f, round_even(p_retailprice * 1.1, 0) AS r FROM part WHERE p_partkey % 3 <> 0), v AS (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN round_even(p_retailprice, 0) ELSE p_retailprice END AS price, 1.5 AS c FROM part)
+SELECT p_partkey::VARCHAR AS sku, f AS price, CASE WHEN r <> f THEN r ELSE c::DOUBLE END AS compare_at FROM v JOIN p USING (p_partkey) WHERE f <> price""",
+)
+def m21(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts, price = table(spark, sf_dir, "part"), F.col("p_retailprice")
+    sku = F.col("p_partkey").cast("string").alias("sku")
+    variants = parts.select(sku, F.when(F.col("p_partkey") % 2 == 0, F.bround(price, 0)).otherwise(price).alias("price"), F.lit(1.5).alias("compare_at"))
+    return changes.price_changes(variants, parts.filter("p_partkey % 3 <> 0").select(sku, price.alias("final"), (price * 1.1).alias("regular")))
+
+
+@query(
+    "m30_links",
+    """SELECT DISTINCT l_orderkey * 2 AS left_new, l_partkey * 3 AS right_new FROM lineitem WHERE l_orderkey % 5 <> 0 AND l_partkey % 4 <> 0 AND (l_orderkey + l_partkey) % 6 <> 0""",
+)
+def m30(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("left_id"), F.col("l_partkey").alias("right_id"))
+    left = table(spark, sf_dir, "orders").filter("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("old"), (F.col("o_orderkey") * 2).alias("new"))
+    right = table(spark, sf_dir, "part").filter("p_partkey % 4 <> 0").select(F.col("p_partkey").alias("old"), (F.col("p_partkey") * 3).alias("new"))
+    done = lines.filter("(left_id + right_id) % 6 = 0").select((F.col("left_id") * 2).alias("left_new"), (F.col("right_id") * 3).alias("right_new"))
+    return changes.links_to_make(lines, left, right, done)
+
+
+@query(
+    "m48_creation_plan",
+    """WITH e AS (SELECT 's' || s_suppkey AS handle, max(s_suppkey) AS t FROM supplier GROUP BY 1)
+SELECT c_custkey, 's' || c_custkey % 150 AS handle, t AS target_id, CASE WHEN c_custkey % 7 = 0 THEN 'done' WHEN t IS NOT NULL THEN 'exists' ELSE 'create' END AS action FROM customer LEFT JOIN e ON e.handle = 's' || c_custkey % 150""",
+)
+def m48(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("s"), (F.col("c_custkey") % 150).cast("string")).alias("handle"))
+    existing = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("handle"), F.col("s_suppkey").alias("target_id"))
+    return changes.creation_plan(source, existing, source.filter("c_custkey % 7 = 0").select("c_custkey"), "c_custkey", "handle").select("c_custkey", "handle", "target_id", "action")
+
+
+@query(
+    "m52_group_differences",
+    """WITH l AS (SELECT l_orderkey AS g, l_partkey % 10 AS i FROM lineitem), r AS (SELECT l_orderkey AS g, l_suppkey % 10 AS i FROM lineitem WHERE l_orderkey % 4 <> 0),
+a AS (SELECT g, list(DISTINCT i) AS x, count(*) AS n FROM l GROUP BY g), b AS (SELECT g, list(DISTINCT i) AS y, count(*) AS n FROM r GROUP BY g)
+SELECT a.g AS l_orderkey, list_aggregate(list_sort(list_filter(x, lambda k: NOT list_contains(coalesce(y, []), k))), 'string_agg', ',') AS missing, list_aggregate(list_sort(list_filter(coalesce(y, []), lambda k: NOT list_contains(x, k))), 'string_agg', ',') AS extra, a.n AS n_left, coalesce(b.n, 0) AS n_right FROM a LEFT JOIN b ON a.g = b.g""",
+)
+def m52(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    found = changes.group_differences(lines.select("l_orderkey", (F.col("l_partkey") % 10).alias("i")), lines.filter("l_orderkey % 4 <> 0").select("l_orderkey", (F.col("l_suppkey") % 10).alias("i")), "l_orderkey", "i")
+    shown = lambda c: F.nullif(F.array_join(F.transform(c, lambda x: x.cast("string")), ","), F.lit("")).alias(c)
+    return found.select("l_orderkey", shown("missing"), shown("extra"), "n_left", "n_right")
+
+
+@query(
+    "a18_dissimilar_sources",
+    r"""WITH r AS (SELECT DISTINCT doc_id, 'translation number ' || (doc_id % 37) || ' of these' AS t, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[ 	
+
+]+'), lambda w: w <> ''))) AS w FROM documents),
+s AS (SELECT * FROM r WHERE len(w) >= 3)
+SELECT DISTINCT a.doc_id FROM s a JOIN s b ON a.t = b.t AND a.w <> b.w AND len(list_intersect(a.w, b.w))::DOUBLE / greatest(len(a.w), len(b.w)) < 0.3""",
+)
+def a18(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts as sources, with one of 37 translations each."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat(F.lit("translation number "), (F.col("doc_id") % 37).cast("string"), F.lit(" of these")).alias("t"))
+    return changes.dissimilar_sources(docs, "doc_id", "text", "t")
+
+
+@query(
+    "m49_page_differences",
+    r"""WITH l AS (SELECT url, max(html) AS h FROM pages GROUP BY url), r AS (SELECT url, max(CASE WHEN page_id % 2 = 0 THEN html ELSE regexp_replace(html, '(?i)<img[^>]*>', '', 'g') END) AS h FROM pages WHERE page_id % 3 <> 0 GROUP BY url)
+SELECT l.url, len(regexp_extract_all(l.h, '(?i)<img[^>]*>'))::INT AS images_left, CASE WHEN r.h IS NOT NULL THEN len(regexp_extract_all(r.h, '(?i)<img[^>]*>'))::INT END AS images_right, r.h IS NULL AS gone FROM l LEFT JOIN r ON l.url = r.url""",
+)
+def m49(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    other = pages.filter("page_id % 3 <> 0").select("url", F.when(F.col("page_id") % 2 == 0, F.col("html")).otherwise(F.regexp_replace("html", "(?i)<img[^>]*>", "")).alias("html"))
+    return changes.page_differences(pages.select("url", "html"), other, "url", "html").select("url", "images_left", "images_right", (F.col("verdict") == "missing").alias("gone"))
