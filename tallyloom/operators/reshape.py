@@ -153,3 +153,78 @@ def by_rank(df: DataFrame, name: str, ranks: list[str], order: str) -> DataFrame
     """Rows by the place of their name in ranks, others last, then by order."""
     place = F.array_position(F.array(*map(F.lit, ranks)), F.col(name))
     return df.orderBy(F.when(place > 0, place).otherwise(999), order)
+
+
+def price_map(items: DataFrame, order: str) -> DataFrame:
+    """items: (sku, name, final_price, regular_price, currency, order). One row per sku, the last; prices rounded half to even, a missing regular price being the final one. Blank skus are out."""
+    last = items.filter(~text.blank(F.col("sku"))).groupBy("sku").agg(F.max_by(F.struct("name", "final_price", "regular_price", "currency"), order).alias("_p"))
+    whole = lambda c: F.bround(c, 0).cast("long")
+    return last.select("sku", "_p.name", whole(F.col("_p.final_price")).alias("final_price"), whole(F.coalesce("_p.regular_price", "_p.final_price")).alias("regular_price"), "_p.currency")
+
+
+def media_by_key(media: DataFrame, key: str, url: str, position: str) -> DataFrame:
+    """(key, urls) in order of position, each url once, at its first place."""
+    first = media.filter(~text.blank(F.col(url))).groupBy(key, url).agg(F.min(position).alias("_at"))
+    return first.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", url))), lambda m: m[url]).alias("urls"))
+
+
+def sitemap_urls(files: DataFrame, content: str) -> DataFrame:
+    """(kind, url) of the addresses that saved sitemaps list: sitemap for further sitemaps, product, category, blog or page by their paths; each once."""
+    urls = files.select(F.explode(F.regexp_extract_all(content, F.lit(r"(?s)<loc>\s*(.*?)\s*</loc>"), 1)).alias("url")).distinct()
+    path = F.lower("url")
+    kind = F.when(path.rlike(r"\.xml(\.gz)?$"), "sitemap").when(path.rlike("/products?/|\\.html$"), "product").when(path.rlike("/(collections|category|categories)/"), "category").when(path.contains("/blog"), "blog").otherwise("page")
+    return urls.select(kind.alias("kind"), "url")
+
+
+def key_sets(rows: DataFrame, key: str, item: str) -> DataFrame:
+    """(key, items): sorted distinct items of each key, blanks aside."""
+    return rows.filter(~text.blank(F.col(key).cast("string")) & ~text.blank(F.col(item).cast("string"))).groupBy(key).agg(F.array_sort(F.collect_set(item)).alias("items"))
+
+
+def weighted_outcomes(df: DataFrame, value: str, outcome: Column) -> DataFrame:
+    """(outcome, n_values, n_rows): distinct values and rows by what becomes of a value; the outcome is found once a value."""
+    counted = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n_values"), F.sum("_n").alias("n_rows"))
+
+
+def key_budget(fields: DataFrame, category: Column, most: int = 3400) -> DataFrame:
+    """(category, n, n_translated, over): fields by category, and under the null category all; over is how many translated ones exceed the budget."""
+    filled = ~text.blank(F.col("translation"))
+    counted = fields.withColumn("_c", category).rollup("_c").agg(F.count(F.lit(1)).alias("n"), F.count_if(filled).alias("n_translated"))
+    return counted.select(F.col("_c").alias("category"), "n", "n_translated", F.greatest(F.col("n_translated") - most, F.lit(0)).alias("over"))
+
+
+def pruned(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """A nested JSON column without the dotted keys of `keys` (one column, a list that fits a task's memory, as a locale file's does), and without what is empty then."""
+    names = [r[0] for r in keys.distinct().collect()]
+    held = F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")
+    return df.withColumn(column, trees.nested(F.map_filter(trees.dotted(column), lambda k, _: ~F.array_contains(held, k))))
+
+
+def template_texts(templates: DataFrame, template: str, is_text, *keep: str) -> DataFrame:
+    """(keep, section_id, block_id, setting_key, value): settings of templates' sections and blocks that is_text, a column function, admits."""
+    parsed = templates.select(*keep, F.explode(F.from_json(template, TEMPLATE)["sections"]).alias("section_id", "_s"))
+    own = parsed.select(*keep, "section_id", F.lit(None).cast("string").alias("block_id"), F.explode("_s.settings").alias("setting_key", "value"))
+    blocks = parsed.select(*keep, "section_id", F.explode("_s.blocks").alias("block_id", "_b"))
+    inner = blocks.select(*keep, "section_id", "block_id", F.explode("_b.settings").alias("setting_key", "value"))
+    return own.unionByName(inner).filter(is_text(F.col("value")))
+
+
+def customer_records(table: DataFrame) -> DataFrame:
+    """Customers' CSV rows as (first_name, last_name, email, phone, tags, address): names from billing, else from the name, else from the address of mail."""
+    from tallyloom.functions import people
+
+    raw = lambda c: text.stripped(F.coalesce(F.col(f"`{c}`"), F.lit("")))
+    named, mailed = people.split_name(raw("Name")), people.name_of_email(raw("Email"))
+    first, last = people.name_case(raw("Billing Firstname")), people.name_case(raw("Billing Lastname"))
+    by_name = lambda k: people.name_case(named[k])
+    none = lambda a, b: (a == "") & (b == "")
+    pick = lambda own, k: F.when(~none(first, last), own).when(~none(by_name("first"), by_name("last")), by_name(k)).otherwise(mailed[k])
+    address = F.struct(
+        F.array_join(people.address_lines(raw("Street Address")), ", ").alias("address1"), people.city_case(raw("City")).alias("city"), people.province(raw("State/Province"), raw("Country")).alias("province"),
+        raw("Country").alias("country"), raw("ZIP").alias("zip"), raw("Company").alias("company"),
+    )
+    return table.select(
+        pick(first, "first").alias("first_name"), pick(last, "last").alias("last_name"), F.lower(raw("Email")).alias("email"), people.phone(F.col("Phone")).alias("phone"),
+        F.concat(F.lit("magento-import,magento-id:"), F.col("ID")).alias("tags"), address.alias("address"),
+    )

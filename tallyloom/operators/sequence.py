@@ -9,21 +9,22 @@ from pyspark.sql import functions as F
 MAX_OFFSET = 5
 
 
-def shifted_rows(df: DataFrame, group: list[str], order: str, source_tokens: Column, target_tokens: Column, least: int = 3, offset: int = MAX_OFFSET, own_tokens: Column | None = None) -> DataFrame:
+def shifted_rows(df: DataFrame, group: list[str], order: str, source_tokens: Column, target_tokens: Column, least: int = 3, offset: int = MAX_OFFSET, own_tokens: Column | None = None, keep: str | None = None) -> DataFrame:
     """Rows whose target shares more tokens with a neighbour's source than with its own: (group, pos, offset, own, other).
-    own_tokens: what the row's own source offers, if other than source_tokens.
+    own_tokens: what the row's own source offers, if other than source_tokens. keep: a column that comes along.
 
     Neighbours stand up to `offset` rows away within the group. They meet in an equality join on the place, not in a range
     join. The neighbour with the largest overlap wins, the nearest and then the earlier one of several.
     """
-    placed = df.select(*group, F.row_number().over(Window.partitionBy(*group).orderBy(order)).alias("pos"), source_tokens.alias("_s"), target_tokens.alias("_t"), (source_tokens if own_tokens is None else own_tokens).alias("_own"))
+    also = [keep] if keep else []
+    placed = df.select(*group, *also, F.row_number().over(Window.partitionBy(*group).orderBy(order)).alias("pos"), source_tokens.alias("_s"), target_tokens.alias("_t"), (source_tokens if own_tokens is None else own_tokens).alias("_own"))
     shifts = [k for k in range(-offset, offset + 1) if k]
-    asking = placed.select(*group, "pos", "_t", F.size(F.array_intersect("_own", "_t")).alias("own"), F.explode(F.array(*map(F.lit, shifts))).alias("offset")).withColumn("_at", F.col("pos") + F.col("offset"))
+    asking = placed.select(*group, *also, "pos", "_t", F.size(F.array_intersect("_own", "_t")).alias("own"), F.explode(F.array(*map(F.lit, shifts))).alias("offset")).withColumn("_at", F.col("pos") + F.col("offset"))
     there = placed.select(*group, F.col("pos").alias("_at"), F.col("_s").alias("_other"))
     met = asking.join(there, [*group, "_at"]).withColumn("other", F.size(F.array_intersect("_t", "_other")))
     good = met.filter((F.col("other") >= least) & (F.col("other") > F.col("own")))
-    best = good.groupBy(*group, "pos").agg(F.max_by(F.struct("offset", "own", "other"), F.struct("other", -F.abs("offset"), -F.col("offset"))).alias("_b"))
-    return best.select(*group, "pos", "_b.*")
+    best = good.groupBy(*group, *also, "pos").agg(F.max_by(F.struct("offset", "own", "other"), F.struct("other", -F.abs("offset"), -F.col("offset"))).alias("_b"))
+    return best.select(*group, *also, "pos", "_b.*")
 
 
 def fixed_batches(df: DataFrame, group: list[str], order: str, size: int) -> DataFrame:
