@@ -510,3 +510,39 @@ def test_language_id_with_many_languages_and_long_texts(spark):
     assert sum(told[i] == lang for i, _, lang in data) >= 0.98 * len(data)
     long = spark.createDataFrame([(1, "".join(rng.choice(letters[7]) for _ in range(1000)) * 1000)], "doc_id long, text string")
     assert language_id.predict(long, profiles).first()["lang_pred"] == "l007"
+
+
+def test_hot_keys_are_spread(spark):
+    from tallyloom.llm import shared
+
+    left = shared.durable(spark.createDataFrame([(0 if k % 2 else k, k) for k in range(4000)] + [(None, -1)], "k long, v long"))
+    right = spark.createDataFrame([(0, "hot"), (2, "two"), (9999, "none")], "k long, w string")
+    for how in ("inner", "left"):
+        met = shared.spread_join(left, right, ["k"], how)
+        got = sorted((r["k"] if r["k"] is not None else -5, r["v"], r["w"]) for r in met.collect())
+        want = [(k if k is not None else -5, v, {0: "hot", 2: "two"}.get(k)) for k, v in map(tuple, left.collect()) if how == "left" or k in (0, 2)]
+        assert got == sorted(want)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = shared.spread_join(left, right.hint("merge"), ["k"]).withColumn("p", F.spark_partition_id())
+        assert max(r["count"] for r in parts.groupBy("p").count().collect()) < 1600  # of 2,001 rows of the hot key, over 4 partitions
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_components_with_a_star(spark):
+    edges = [(5, k) for k in range(10, 3000)] + [(k, k + 1) for k in range(3000, 3040)] + [(2999, 3000)]
+    got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()}
+    assert got == {k: 5 for k in [5, *range(10, 3041)]}
+
+
+def test_durable_tables_are_listed_and_discarded(spark, tmp_path):
+    from tallyloom.llm import shared
+
+    mark = len(shared.written())
+    kept = shared.durable(spark.range(5))
+    shared.durable(spark.range(3))
+    shared.discard(spark, shared.written(mark)[1:])
+    assert len(shared.written(mark)) == 1 and kept.count() == 5
+    shared.discard(spark, shared.written(mark))
+    assert shared.written(mark) == []
