@@ -522,12 +522,15 @@ def test_hot_keys_are_spread(spark):
         got = sorted((r["k"] if r["k"] is not None else -5, r["v"], r["w"]) for r in met.collect())
         want = [(k if k is not None else -5, v, {0: "hot", 2: "two"}.get(k)) for k, v in map(tuple, left.collect()) if how == "left" or k in (0, 2)]
         assert got == sorted(want)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in plain.items():
+        spark.conf.set(name, value)
     try:
-        parts = shared.spread_join(left, right.hint("merge"), ["k"]).withColumn("p", F.spark_partition_id())
+        parts = shared.spread_join(left, right, ["k"]).withColumn("p", F.spark_partition_id())
         assert max(r["count"] for r in parts.groupBy("p").count().collect()) < 1600  # of 2,001 rows of the hot key, over 4 partitions
     finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
+        for name in plain:
+            spark.conf.unset(name)
 
 
 def test_components_with_a_star(spark):
