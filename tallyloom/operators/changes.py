@@ -219,21 +219,19 @@ def key_coverage(rows: DataFrame, keys: list[str], key: str, owner: str) -> Data
 def dissimilar_sources(rows: DataFrame, row_id: str, source: str, translated: str, least: float = 0.3, width: int = 64) -> DataFrame:
     """Ids of rows whose translation, over 20 characters, stands for a source that shares under `least` of its words with another source of that translation. Sources under three words don't count.
 
-    Sources of one translation that have the same words are one set. A set that differs from any of `width` sets of its group, taken by hash, is found by them, as they are by it. Sets that are near all of those go on to
-    the next `width`, chosen anew among all sets of the group, until the group has no further ones: nothing is left out, and a set meets others only as long as it has not differed.
+    Sources of one translation that have the same words are one set. A set that differs from any of `width` sets of its group, taken by hash, is found by them, as they are by it. Only sets that are near all of those,
+    few where sources differ at all, go on to the group's other sets, which come in arrays of `width`; no pair becomes a row, and nothing is left out.
     """
     words = F.array_sort(F.array_distinct(F.filter(F.split(F.lower(source), r"(?U)\s+"), lambda w: w != "")))
     base = rows.filter(F.length(translated) > 20).select(F.col(row_id).alias("_id"), F.col(translated).alias("_t"), words.alias("_w")).filter(F.size("_w") >= 3)
     sets = base.select("_t", "_w").distinct().withColumn("_n", F.row_number().over(Window.partitionBy("_t").orderBy(F.xxhash64("_w"), F.col("_w"))) - 1).withColumn("_part", F.floor(F.col("_n") / width))
     parts = sets.groupBy("_t", "_part").agg(F.collect_list("_w").alias("_others"))
     far = lambda a, b: F.size(F.array_intersect(a, b)) / F.greatest(F.size(a), F.size(b)) < least
-    found = None
-    for part in range((sets.agg(F.max("_part")).first()[0] or 0) + 1):
-        open_ = sets.select("_t", "_w") if found is None else sets.select("_t", "_w").join(found, ["_t", "_w"], "left_anti")
-        met = open_.join(parts.filter(F.col("_part") == part).drop("_part"), "_t")
-        own = met.select("_t", "_w", F.filter("_others", lambda o: far(o, F.col("_w"))).alias("_far")).filter(F.size("_far") > 0)
-        both = own.select("_t", F.explode(F.concat("_far", F.array("_w"))).alias("_w")).distinct()
-        found = both if found is None else found.unionByName(both).distinct()
+    own = sets.select("_t", "_w").join(parts.filter("_part = 0"), "_t").select("_t", "_w", F.filter("_others", lambda o: far(o, F.col("_w"))).alias("_far")).filter(F.size("_far") > 0)
+    soon = own.select("_t", F.explode(F.concat("_far", F.array("_w"))).alias("_w")).distinct()
+    open_ = sets.select("_t", "_w").join(soon, ["_t", "_w"], "left_anti")
+    later = open_.join(parts.filter("_part > 0"), "_t").filter(F.exists("_others", lambda o: far(o, F.col("_w")))).select("_t", "_w")
+    found = soon.unionByName(later).distinct()
     return base.join(found, ["_t", "_w"]).select(F.col("_id").alias(row_id)).distinct()
 
 
