@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 UNKNOWN = "und"
 DIMENSIONS, ORDER, SEED = 512, 3, 7
-#: Bound of the fit: labelled documents per language that are expected in the sample; tasks that sum them up.
-TRAIN_DOCS, TRAIN_TASKS = 3000, 24
+#: Bound of the fit: labelled documents per language that are expected in the sample; tasks that sum them up, in all and of one language.
+TRAIN_DOCS, TRAIN_TASKS, LANGUAGE_TASKS = 3000, 24, 6
 #: Up to so many languages their shares are sent to all tasks; beyond, rows meet them by language.
 FEW_LANGUAGES = 10_000
 #: Characters that a task looks at together, and distinct n-grams of theirs.
@@ -167,7 +167,7 @@ def fit(
     shares = labelled.sparkSession.createDataFrame([tuple(r) for r in counts], rows.select("_lang", F.lit(1.0).alias("_share")).schema)
     draw = F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     shares = F.broadcast(shares) if len(counts) <= FEW_LANGUAGES else shares
-    sample = rows.join(shares, "_lang").filter(draw < F.col("_share")).select("_id", "_text", "_lang").repartition(TRAIN_TASKS, "_id")
+    sample = rows.join(shares, "_lang").filter(draw < F.col("_share")).select("_text", "_lang", F.pmod(F.xxhash64("_id"), F.lit(LANGUAGE_TASKS)).alias("_part")).repartition(TRAIN_TASKS, "_lang", "_part")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, found = _encoder(dimensions, order, seed), {}
@@ -180,7 +180,7 @@ def fit(
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([v.tobytes() for v in found.values()], pa.binary())], names=["_lang", "_sum"])
 
     total: dict[str, np.ndarray] = {}
-    for r in sample.select("_text", "_lang").mapInArrow(sums, "_lang string, _sum binary").toLocalIterator():  # TRAIN_TASKS rows a language at most
+    for r in sample.select("_text", "_lang").mapInArrow(sums, "_lang string, _sum binary").collect():  # LANGUAGE_TASKS rows a language at most
         total[r["_lang"]] = total.get(r["_lang"], 0) + np.frombuffer(bytes(r["_sum"]), np.float64)
     if not total:
         return Profiles([], np.zeros((0, dimensions), np.float32), np.zeros(dimensions, np.float32), dimensions, order, seed)
