@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, language_id, line_dedup, lm_scoring, mixing, nearest, packing, simhash, suffix_dedup, toxicity
+from tallyloom.llm import exact_dedup, language_id, line_dedup, lm_scoring, mixing, nearest, packing, sharding, simhash, suffix_dedup, toxicity
 from tallyloom.llm.shared import table
 
 
@@ -67,6 +67,10 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_nearest": op10_nearest,
+    "op11_sharding": op11_sharding,
 }
 
 ORACLES = {
