@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, language_id, line_dedup, lm_scoring, mixing, nearest, packing, sharding, simhash, suffix_dedup, toxicity
+from tallyloom.llm import divergence, exact_dedup, language_id, line_dedup, lm_scoring, mixing, nearest, packing, resampling, sharding, simhash, suffix_dedup, toxicity
 from tallyloom.llm.shared import table
 
 
@@ -71,6 +71,14 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -83,6 +91,8 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_nearest": op10_nearest,
     "op11_sharding": op11_sharding,
+    "op12_resampling": op12_resampling,
+    "op13_divergence": op13_divergence,
 }
 
 ORACLES = {
@@ -105,5 +115,62 @@ FROM keyed GROUP BY rid
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+""",
+    # CRC-32 is worked out bit by bit for each distinct word.
+    "op12_resampling": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+marks AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM benchmark),
+features AS (SELECT rid, unnest(words) AS word FROM docs),
+kinds AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM features UNION SELECT word FROM marks)),
+bytes AS (SELECT word, list_transform(range(length(h) // 2), lambda k: ('0x' || substr(h, 2 * k + 1, 2))::BIGINT) AS b FROM kinds),
+hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+           lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295) % 10000 AS bucket
+  FROM bytes),
+s AS (SELECT bucket, count(*) AS n FROM features JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM marks JOIN hashed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+           / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+weights AS (SELECT rid, sum(gain)::BIGINT AS weight FROM features JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY rid),
+scored AS (
+  SELECT rid, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM docs LEFT JOIN weights USING (rid)),
+ranked AS (
+  SELECT *, n_features >= 20 AS inside, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, rid) AS place FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN inside AND place <= (SELECT count(*) FROM scored WHERE n_features >= 20) * 10 // 100 THEN place END AS rank
+FROM ranked
+""",
+    "op13_divergence": r"""
+WITH base AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT rid, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM base),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+kept AS (SELECT lang, term FROM words GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+groups AS (SELECT DISTINCT lang, source FROM base),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 1)) // (sum(n) OVER w + count(*) OVER w) AS p FROM dense WINDOW w AS (PARTITION BY lang, source)),
+whole AS (SELECT lang, term, sum(n) AS n FROM dense GROUP BY ALL),
+q AS (SELECT lang, term, 1 + (1000000000 * (n + 1)) // (sum(n) OVER w + count(*) OVER w) AS q FROM whole WINDOW w AS (PARTITION BY lang)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, (p - q) * (p - q) // q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
 """,
 }

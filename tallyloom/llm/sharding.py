@@ -33,23 +33,34 @@ def first_map(spark: SparkSession, shards: int = SHARDS, slots: int = SLOTS) ->
     return spark.range(slots).select(F.col("id").cast("int").alias("slot"), (F.col("id") % shards).cast("int").alias("shard"), F.lit(0).cast("long").alias("bytes"))
 
 
+def equal_share(sizes: DataFrame, shards: int) -> float:
+    """What a shard should hold: a slot that is larger than that has a shard of its own, and the rest is shared by the others. Looks at a total and at the `shards` largest slots."""
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    for nth, r in enumerate(sizes.orderBy(F.desc("bytes"), "slot").limit(shards - 1).select("bytes").collect()):
+        if r["bytes"] * (shards - nth) <= total:
+            return total / (shards - nth)
+        total -= r["bytes"]
+    return float(total)
+
+
 def rebalanced(current: DataFrame, sizes: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The map edited for these sizes (slot, bytes) and this number of shards; it may grow or shrink.
 
-    A shard keeps its largest slots as long as they fit into an equal share, its first in any case, and empty ones. All others go, largest first
+    A shard keeps its largest slots as long as they fit into an equal share (see equal_share), its first in any case, and empty ones. All others go, largest first
     (ties to the smaller slot), each to the shard with least bytes then, the smallest of equals. So a shard exceeds the
     equal share by less than the slot that it was dealt last, unless a single slot does. Slots of shards that are gone are dealt out again; a new shard only receives. The edit is one
     row of as many slots as move: 8,192 at most, however many documents there are.
     """
-    total = sizes.agg(F.sum("bytes")).first()[0] or 0
     by_size = Window.partitionBy("shard").orderBy(F.desc("bytes"), "slot")
     now = current.select("slot", "shard").join(sizes.select("slot", "bytes"), "slot", "left").select("slot", "shard", F.coalesce("bytes", F.lit(0)).alias("bytes"))
-    fits = (F.sum("bytes").over(by_size.rowsBetween(Window.unboundedPreceding, 0)) * shards <= total) | (F.row_number().over(by_size) == 1) | (F.col("bytes") == 0)
+    fits = (F.sum("bytes").over(by_size.rowsBetween(Window.unboundedPreceding, 0)) <= equal_share(sizes, shards)) | (F.row_number().over(by_size) == 1) | (F.col("bytes") == 0)
     told = durable(now.withColumn("stays", fits & (F.col("shard") < shards)))
     stays = told.filter("stays").select("slot", "shard", "bytes")
     loads = sizes.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard")).join(stays.groupBy("shard").agg(F.sum("bytes").alias("load")), "shard", "left")
-    loads = loads.agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", F.coalesce("load", F.lit(0)).alias("load")))), lambda x: x["load"]).alias("loads"))
-    gone = told.filter("not stays").agg(F.array_sort(F.collect_list(F.struct((-F.col("bytes")).alias("less"), "slot"))).alias("gone"))
+    load = F.struct("shard", F.coalesce("load", F.lit(0)).alias("load"))
+    move = F.struct((-F.col("bytes")).alias("less"), "slot")
+    both = loads.select(load.alias("l")).unionByName(told.filter("not stays").select(move.alias("g")), allowMissingColumns=True)
+    one_row = both.agg(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["load"]).alias("loads"), F.array_sort(F.collect_list("g")).alias("gone"))
     least = lambda acc: F.array_position(acc["loads"], F.array_min(acc["loads"]))
     deal = F.aggregate(
         F.col("gone"),
@@ -59,7 +70,6 @@ def rebalanced(current: DataFrame, sizes: DataFrame, shards: int = SHARDS) -> Da
             F.concat(acc["to"], F.array((least(acc) - 1).cast("int"))).alias("to"),
         ),
     )
-    one_row = loads.withColumn("_one", F.lit(1)).join(gone.withColumn("_one", F.lit(1)), "_one")
     moved = one_row.select(F.explode(F.arrays_zip("gone", deal["to"].alias("to"))).alias("m")).select("m.gone.slot", F.col("m.to").alias("shard"), (-F.col("m.gone.less")).alias("bytes"))
     return stays.unionByName(moved)
 
