@@ -54,7 +54,7 @@ def test_a_group_of_a_third_of_all_rows_stays_whole(spark):
 
 
 def test_empty_table_one_long_text_and_too_few_slots(spark):
-    assert sharding.shard_documents(frame(spark, rows_of(1)).limit(0)).collect() == []
+    assert sharding.shard_documents(frame(spark, rows_of(9)).limit(0)).collect() == []
     rows = [(1, "long " * 1_000_000), (2, "short"), (3, None)]
     held_against(sharding.shard_documents(frame(spark, rows), shards=2, slots=16).collect(), rows, 2)
     with pytest.raises(ValueError, match="fewer"):
