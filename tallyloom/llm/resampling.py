@@ -22,12 +22,14 @@ def features_sql(max_n: int, buckets: int) -> str:
     grams = ["SELECT row, word AS feature FROM placed WHERE pos <= n - extra"]
     for k in range(2, max_n + 1):
         words = ", ".join(["word", *(f"lead(word, {j}) OVER w" for j in range(1, k))])
-        grams.append(f"SELECT row, concat_ws(' ', {words}) AS feature FROM placed QUALIFY pos <= least(n - extra, n - {k - 1}) WINDOW w AS (PARTITION BY piece ORDER BY pos)")
+        grams.append(f"SELECT row, concat_ws(' ', {words}) AS feature FROM placed WINDOW w AS (PARTITION BY piece ORDER BY pos) QUALIFY pos <= least(n - extra, n - {k - 1})")
     return f"""
     WITH split AS (SELECT piece, row, extra, regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '{WORD}') AS words FROM pieces),
     placed AS (SELECT piece, row, extra, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM split),
     features AS ({" UNION ALL ".join(grams)}),
-    counted AS (SELECT row, (zlib_crc32(feature) % {buckets})::INT AS bucket, count(*) AS times FROM features GROUP BY ALL),
+    seen AS (SELECT row, feature, count(*) AS times FROM features GROUP BY ALL),
+    hashed AS (SELECT feature, (zlib_crc32(feature) % {buckets})::INT AS bucket FROM (SELECT DISTINCT feature FROM seen)),
+    counted AS (SELECT row, bucket, sum(times)::BIGINT AS times FROM seen JOIN hashed USING (feature) GROUP BY ALL),
     listed AS (SELECT row, list(bucket ORDER BY bucket) AS buckets, list(times ORDER BY bucket) AS times FROM counted GROUP BY row),
     measured AS (SELECT row, sum(len(words) - extra)::BIGINT AS n_words FROM split GROUP BY row)
     SELECT row, n_words, coalesce(buckets, []) AS buckets, coalesce(times, []) AS times FROM measured LEFT JOIN listed USING (row) ORDER BY row
@@ -47,15 +49,29 @@ def cut(text: bytes, max_n: int, size: int = QUERY_BYTES) -> Iterator[tuple[byte
     yield text[first:], 0
 
 
+def together(counts: pa.Table) -> pa.Table:
+    """One row for each _row, counts of several added up. In the order of rows."""
+    rows: dict[int, tuple[int, dict]] = {}
+    for row, n, own, times in zip(*(c.to_pylist() for c in counts.columns), strict=True):
+        words, was = rows.get(row, (0, {}))
+        for b, t in zip(own, times, strict=True):
+            was[b] = was.get(b, 0) + t
+        rows[row] = (words + n, was)
+    order = sorted(rows)
+    columns = [order, [rows[r][0] for r in order], [sorted(rows[r][1]) for r in order], [[rows[r][1][b] for b in sorted(rows[r][1])] for r in order]]
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, counts.schema, strict=True)], schema=counts.schema)
+
+
 def spilled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_n: int = MAX_N, buckets: int = BUCKETS) -> DataFrame:
     """(_row, _id, _words, _buckets, _times) of each row, as Parquet in the shared folder: its words and how often each bucket is hit, by the order of buckets.
 
     Each partition's texts go through an in-memory DuckDB, some 8 MB at a time: SQL unnests the words, windows them to n-grams and counts them by bucket, a registered function giving zlib's CRC-32.
     """
     sql, id_type = features_sql(max_n, buckets), docs.schema[id_col].dataType.simpleString()
+    kinds = {"_row": pa.int64(), "_words": pa.int64(), "_buckets": pa.list_(pa.int32()), "_times": pa.list_(pa.int64())}
 
     def checksums(features: pa.ChunkedArray) -> pa.Array:
-        return pa.array([crc32(x.as_py().encode()) for x in features], pa.int64())
+        return pa.array([crc32(x) for x in features.cast(pa.binary()).to_pylist()], pa.int64())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
@@ -63,33 +79,21 @@ def spilled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max
 
         con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": DUCKDB_MEMORY})
         con.create_function("zlib_crc32", checksums, ["VARCHAR"], "BIGINT", type="arrow")
-        total, number = {}, TaskContext.get().partitionId() << 33
+        results, number = [], TaskContext.get().partitionId() << 33
 
         def query(pieces: list[tuple[int, int, bytes]]) -> None:
             rows, extra, texts = zip(*pieces, strict=True)
             con.register("pieces", pa.table({"piece": pa.array(range(len(rows)), pa.int64()), "row": pa.array(rows, pa.int64()), "extra": pa.array(extra, pa.int64()), "text": pa.array(texts, pa.binary()).cast(pa.string())}))
-            for part in con.sql(sql).to_arrow_reader(100_000):
-                for row, n, own, times in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    if row in total:  # a text in several pieces
-                        was = total[row][1]
-                        for b, t in zip(own, times, strict=True):
-                            was[b] = was.get(b, 0) + t
-                        total[row] = (total[row][0] + n, was)
-                    else:
-                        total[row] = (n, dict(zip(own, times, strict=True)))
+            results.append(con.sql(sql).to_arrow_table().rename_columns(list(kinds)).cast(pa.schema(kinds.items())))
             con.unregister("pieces")
 
-        def made(ids: list, first: int) -> pa.RecordBatch:
-            found = [total.pop(k, (0, {})) for k in range(first, first + len(ids))]
-            order = [sorted(x[1]) for x in found]
-            arrays = [
-                pa.array(range(first, first + len(ids)), pa.int64()),
-                pa.concat_arrays(ids),
-                pa.array([x[0] for x in found], pa.int64()),
-                pa.array(order, pa.list_(pa.int32())),
-                pa.array([[x[1][b] for b in own] for x, own in zip(found, order, strict=True)], pa.list_(pa.int64())),
-            ]
-            return pa.RecordBatch.from_arrays(arrays, names=["_row", "_id", "_words", "_buckets", "_times"])
+        def made(ids: list) -> Iterator[pa.RecordBatch]:
+            found = pa.concat_tables(results)
+            results.clear()
+            if found.num_rows > len(ids):  # a text in several queries
+                found = together(found)
+            whole = found.add_column(1, "_id", pa.concat_arrays(ids)).combine_chunks()
+            yield from whole.to_batches()
 
         ids, pieces, size = [], [], 0
         for batch in batches:
@@ -105,12 +109,12 @@ def spilled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max
                 if not pieces or len(ids) >= 20_000:
                     if pieces:
                         query(pieces)
-                    yield made(ids, number)
+                    yield from made(ids)
                     number, ids, pieces, size = number + len(ids), [], [], 0
         if pieces:
             query(pieces)
         if ids:
-            yield made(ids, number)
+            yield from made(ids)
         con.close()
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
