@@ -9,7 +9,7 @@ from tallyloom.llm.shared import durable, partitions
 
 WEIGHTS, TOTAL_SHARE, MAX_REPEATS = (3, 1, 2), 1.5, 2.0
 BLOCK_WORDS, SHARD_BLOCKS, SLOT_RUN, SEED = 64, 4096, 8192, 20240229
-#: Coin throws that are counted one by one; more are drawn by the normal law.
+#: Coin throws that are counted one by one; more are drawn by inverting the binomial law.
 THROWS = 1024
 #: Feistel rounds, and how often a value outside the domain is sent through again.
 ROUNDS, WALKS = 4, 24
@@ -94,17 +94,29 @@ def _offsets(docs: DataFrame, chunks: int, seed: int) -> DataFrame:
 
 
 def heads(throws: Column, *key: Column) -> Column:
-    """A draw from the binomial law of this many fair throws, the same for the same key: bits are counted up to THROWS, beyond that the
-    normal law serves, whose error is far below one part in a thousand of its deviation there."""
+    """A draw from the binomial law of this many fair throws, the same for the same key. Up to THROWS, bits are counted. Beyond, the law is inverted from
+    its middle outwards: a side by one bit, and how far by adding up the probabilities, exact to double precision, until they exceed a uniform
+    number. That takes some root of the number of throws in steps, ten deviations at most."""
     word = lambda k: F.xxhash64(*key, k)
     few = F.least(throws, F.lit(THROWS))
     full, rest = F.floor(few / 64).cast("int"), (few % 64).cast("int")
     last = F.when(rest > 0, F.bit_count(F.call_function("shiftrightunsigned", word(full), 64 - rest))).otherwise(0)
     whole = last + F.aggregate(F.filter(F.sequence(F.lit(0), full), lambda k: k < full), F.lit(0), lambda acc, k: acc + F.bit_count(word(k)))
-    uniform = lambda k: (F.pmod(word(F.lit(k)), F.lit(1 << 52)) + 1) / F.lit(float(1 << 52))
-    normal = F.sqrt(-2 * F.log(uniform(-1))) * F.cos(F.lit(6.283185307179586) * uniform(-2))
-    large = F.round(throws / 2 + F.sqrt(throws.cast("double")) / 2 * normal).cast("long")
-    return F.when(throws <= THROWS, whole.cast("long")).otherwise(F.greatest(F.lit(0).cast("long"), F.least(throws, large)))
+    uniform = (F.pmod(word(F.lit(-1)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    odd, middle = throws % 2, F.expr("0L") + F.floor(throws / 2)
+    even = (throws + odd).cast("double")
+    central = F.sqrt(2 / (F.lit(math.pi) * even)) * F.exp(-1 / (4 * even) + 1 / (24 * even * even * even))  # that of the middle, or of either middle
+    steps = F.when(throws > THROWS, F.ceil(5 * F.sqrt(throws.cast("double")))).otherwise(1).cast("int")
+    start = F.struct(F.lit(0).cast("long").alias("away"), central.alias("one"), (central * (1 + odd)).alias("sum"))
+
+    def outwards(acc: Column, j: Column) -> Column:
+        one = acc["one"] * (middle - j + 1) / (middle + odd + j)
+        there = acc["sum"] >= uniform
+        return F.when(there, acc).otherwise(F.struct(j.cast("long").alias("away"), one.alias("one"), (acc["sum"] + 2 * one).alias("sum")))
+
+    away = F.aggregate(F.sequence(F.lit(1), steps), start, outwards)["away"]
+    upper = F.pmod(word(F.lit(-2)), F.lit(2)) == 1
+    return F.when(throws <= THROWS, whole.cast("long")).otherwise(F.when(upper, middle + odd + away).otherwise(middle - away))
 
 
 def shard_counts(sources: DataFrame, depth: int, seed: int) -> DataFrame:
@@ -137,7 +149,7 @@ def mix_plan(
     shard_blocks: int = SHARD_BLOCKS,
     seed: int = SEED,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents with their place, sources with target and blocks, the mix: a row per output slot).
+    """(documents with their place, sources with target and blocks, ranges of takes by source and output shard; see slots).
 
     A document's words stand at _start in its source's stream, which is cut into blocks of `block` words. The mix has
     one slot per block taken, in output shards of about `shard_blocks` slots: how many each source fills of each shard is drawn by shard_counts. Numbered by shard within their source,
@@ -154,22 +166,30 @@ def mix_plan(
     n, total = base.count(), targets.agg(F.sum("_takes")).first()[0] or 0
     depth = max(0, math.ceil(math.log2(total / shard_blocks))) if total > shard_blocks else 0
     counts = shard_counts(targets, depth, seed)
-    shards = counts.join(targets.select(F.col("_source").alias("_s"), "_blocks"), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
-    runs = shards.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_count") - 1, F.lit(SLOT_RUN).cast("long"))).alias("_from"))
-    slots = runs.select("*", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + SLOT_RUN, F.col("_count")) - 1)).alias("_slot"))
-    mix = (
-        slots.withColumn("_take", F.col("_first_take") + F.col("_slot"))
+    shards = counts.join(targets.select(F.col("_source").alias("_s"), "_blocks", "_takes"), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
+    return _offsets(base, chunk_count(n), seed), targets, shards
+
+
+def slots(shards: DataFrame, broken_only: bool = False, seed: int = SEED) -> DataFrame:
+    """(_source, _shard, _slot, _pass, _block): which block stands in each slot of the mix. A pass over a source takes each of its blocks once, in
+    an order of its own, so with broken_only there are rows for the slots of its last, broken pass alone."""
+    before = F.floor(F.col("_takes") / F.col("_blocks")).cast("long") * F.col("_blocks") if broken_only else F.lit(0).cast("long")
+    rest = shards.withColumn("_skip", F.greatest(before - F.col("_first_take"), F.lit(0).cast("long"))).filter("_skip < _count")
+    runs = rest.select("*", F.explode(F.sequence(F.col("_skip"), F.col("_count") - 1, F.lit(SLOT_RUN).cast("long"))).alias("_from"))
+    each = runs.select("*", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + SLOT_RUN, F.col("_count")) - 1)).alias("_slot"))
+    return (
+        each.withColumn("_take", F.col("_first_take") + F.col("_slot"))
         .withColumn("_pass", F.floor(F.col("_take") / F.col("_blocks")).cast("long"))
         .withColumn("_block", permuted(F.pmod(F.col("_take"), F.col("_blocks")), F.col("_blocks"), F.xxhash64("_source", "_pass", F.lit(seed))))
         .select("_source", "_shard", "_slot", "_pass", "_block")
     )
-    return _offsets(base, chunk_count(n), seed), targets, mix
 
 
-def _taken(docs: DataFrame, id_col: str, text_col: str, source_col: str, block: int, **how) -> tuple[DataFrame, DataFrame]:
-    """((_id, _text_key, _source, _size, _taken) of each row, sources): the mix's slots, counted per block, joined by block index with the pieces of documents in that block."""
-    placed, targets, mix = mix_plan(docs, id_col, text_col, source_col, block=block, **how)
-    takes = mix.groupBy("_source", "_block").agg(F.count(F.lit(1)).alias("_times")).withColumnsRenamed({"_source": "_s", "_block": "_b"})
+def _taken(docs: DataFrame, id_col: str, text_col: str, source_col: str, block: int, seed: int = SEED, **how) -> DataFrame:
+    """(_id, _text_key, _source, _size, _taken, _source_size, _target) of each row. Whole passes over its source take a document's words once each; the slots of the broken
+    pass are joined by block index with the pieces of documents in that block."""
+    placed, targets, shards = mix_plan(docs, id_col, text_col, source_col, block=block, seed=seed, **how)
+    takes = slots(shards, True, seed).select(F.col("_source").alias("_s"), F.col("_block").alias("_b"), F.lit(1).alias("_times"))
     last = F.expr(f"(_start + _size - 1) div {block}")
     pieces = placed.filter("_size > 0").select("*", F.explode(F.sequence(F.expr(f"_start div {block}"), last)).alias("_block"))
     words = F.least(F.col("_start") + F.col("_size"), (F.col("_block") + 1) * block) - F.greatest(F.col("_start"), F.col("_block") * block)
@@ -177,26 +197,27 @@ def _taken(docs: DataFrame, id_col: str, text_col: str, source_col: str, block:
         pieces.withColumn("_words", words)
         .join(takes, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")), "left")
         .groupBy("_id", "_text_key", "_source", "_size", "_start")
-        .agg(F.sum(F.col("_words") * F.coalesce("_times", F.lit(0))).alias("_taken"))
-        .select("_id", "_text_key", "_source", "_size", "_taken")
-        .unionByName(placed.filter("_size = 0").select("_id", "_text_key", "_source", "_size", F.lit(0).cast("long").alias("_taken")))
+        .agg(F.sum(F.col("_words") * F.coalesce("_times", F.lit(0))).alias("_broken"))
+        .select("_id", "_text_key", "_source", "_size", "_broken")
+        .unionByName(placed.filter("_size = 0").select("_id", "_text_key", "_source", "_size", F.lit(0).cast("long").alias("_broken")))
     )
-    return taken, targets
+    passes = F.when(F.col("_blocks") > 0, F.floor(F.col("_takes") / F.col("_blocks"))).otherwise(0).cast("long")
+    about = targets.select(F.col("_source").alias("_s"), "_source_size", "_target", passes.alias("_passes"))
+    both = taken.join(about, F.col("_source").eqNullSafe(F.col("_s")))
+    return both.select("_id", "_text_key", "_source", "_size", (F.col("_broken") + F.col("_passes") * F.col("_size")).alias("_taken"), "_source_size", "_target")
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK_WORDS, **how) -> DataFrame:
     """One row per document: (id, size, source_size, target, taken), taken being the words that the mix takes from it.
 
-    The mix's slots, counted per block, are joined by block index with the pieces of documents that stand in that block.
+    Each whole pass of the mix over a source takes all its words once; the slots of the last, broken pass are joined by block index with the pieces of documents that stand in that block.
     Target and source size are those of the document's source. A source's taken words differ from its target by less
     than two blocks, and as no block is taken more than max_repeats times, no document is either.
 
     A null or blank text has size 0 and is never taken; a text of any length spans as many blocks as it needs. A null source is a source of its own, the last. Rows that repeat
     an id each have their own place. With no words at all, targets are 0. Extra columns are ignored, whatever they are called. An empty table gives no rows.
     """
-    taken, targets = _taken(docs, id_col, text_col, source_col, block, **how)
-    about = targets.select(F.col("_source").alias("_s"), "_source_size", "_target")
-    return taken.join(about, F.col("_source").eqNullSafe(F.col("_s"))).select(
+    return _taken(docs, id_col, text_col, source_col, block, **how).select(
         F.col("_id").alias(id_col),
         F.col("_size").alias("size"),
         F.col("_source_size").alias("source_size"),
@@ -213,7 +234,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     nearest to the words taken so far. No document is copied more than max_repeats times, rounded up. Documents
     without words stay once. Rows that repeat id and text are taken alike, as often as the first of them. Null sources, empty tables and long texts as for mix_documents.
     """
-    taken, _ = _taken(docs, id_col, text_col, source_col, block, seed=seed, **how)
+    taken = _taken(docs, id_col, text_col, source_col, block, seed=seed, **how)
     one = durable(taken.groupBy("_id", "_text_key", "_source", "_size").agg(F.min("_taken").alias("_taken")).withColumn("_draw", F.xxhash64("_id", "_text_key", F.lit(seed + 1))))
     n = one.count()
     chunk = F.pmod(F.col("_draw"), F.lit(chunk_count(n)))

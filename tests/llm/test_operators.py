@@ -136,6 +136,43 @@ def test_mixing_draws_counts_of_shards(spark):
         assert 0.9 < sum((x - mean) ** 2 for x in drawn) / 2000 / (n / 4) < 1.1
 
 
+def test_mixing_draws_follow_the_binomial_law(spark):
+    """Chi-square over ranges of about equal probability, for numbers of throws beyond those that are counted."""
+    for n in (1_000_000, 1_000_001, 1_999):
+        drawn = [r["h"] for r in spark.range(20_000).select(mixing.heads(F.lit(n).cast("long"), F.col("id"), F.lit(n)).alias("h")).collect()]
+        low = range(max(0, n // 2 - 4000), min(n, n // 2 + 4000) + 1)
+        log = [math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) - n * math.log(2) for k in low]
+        bounds, chance, total = [], [], 0.0
+        for k, x in zip(low, log, strict=True):
+            total += math.exp(x)
+            if total >= 0.05 and len(bounds) < 19:
+                bounds.append(k)
+                chance.append(total)
+                total = 0.0
+        chance.append(1 - sum(chance))
+        seen = [0] * len(chance)
+        for x in drawn:
+            seen[sum(x > b for b in bounds)] += 1
+        chi = sum((o - 20_000 * p) ** 2 / (20_000 * p) for o, p in zip(seen, chance, strict=True))
+        assert chi < 45  # 19 degrees of freedom: 0.9993 lie below
+
+
+def test_mixing_counts_whole_passes_without_slots(spark):
+    docs = spark.createDataFrame([(k, "w " * (1 + k % 90), "a" if k % 3 else "b") for k in range(300)] + [(900, "v " * 2_500_000, "b")], "doc_id long, text string, source string")
+    _, targets, shards = mixing.mix_plan(docs, total_share=1.5, max_repeats=2.0)
+    every = mixing.slots(shards).groupBy("_source", "_block").count().collect()
+    broken = {(r[0], r[1]): r[2] for r in mixing.slots(shards, True).groupBy("_source", "_block").count().collect()}
+    about = {r["_source"]: (r["_takes"] // r["_blocks"], r["_takes"] % r["_blocks"]) for r in targets.collect()}
+    assert any(whole for whole, _ in about.values()) and set(broken.values()) == {1}
+    assert {(r[0], r[1]): r[2] for r in every} == {(s, b): n for s, (whole, _) in about.items() for b in {r[1] for r in every if r[0] == s} if (n := whole + broken.get((s, b), 0))}
+    assert {s: sum(n for (x, _), n in broken.items() if x == s) for s in about} == {s: rest for s, (_, rest) in about.items()}
+    got = mixing.mix_documents(docs).collect()
+    assert all(r["taken"] <= 2 * r["size"] for r in got)
+    for s in about:
+        own = [r for r in got if (900 if r["doc_id"] == 900 else r["doc_id"] % 3 and "a" or "b") in (s, 900 if s == "b" else s)]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 128
+
+
 def test_packing(docs, rows, empty):
     path = queries.tokenizer_path()
     from tokenizers import Tokenizer
