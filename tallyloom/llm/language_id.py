@@ -1,7 +1,9 @@
 """Language ID with hyperdimensional profiles of letter n-grams."""
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -190,6 +192,12 @@ def fit(
     return Profiles(languages, _unit(prototypes - common).astype(np.float32), _unit(common).astype(np.float32), dimensions, order, seed)
 
 
+def chance_cosine(profiles: Profiles, share: float) -> float:
+    """The cosine that a text in none of the languages reaches with its nearest prototype with this chance at most. The cosine of a random vector is about normal with
+    a deviation of one over the root of the dimensions."""
+    return NormalDist().inv_cdf(1 - share / max(len(profiles.languages), 1)) / math.sqrt(profiles.dimensions)
+
+
 def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """One row per document: (id, lang_pred, score, cosine), from the whole text and nothing else. keep: columns of docs that
     pass through in place of the id; they must not be named like the results. A text_col within a kept struct (as in "doc.text") is taken from there, so that it is sent once.

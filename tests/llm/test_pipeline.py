@@ -40,3 +40,29 @@ def test_no_labels_and_nothing_left_behind(spark):
     mark = len(written())
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
     assert len(written(mark)) <= 4  # the last stage's input and its own tables
+
+
+JUNK = {
+    "russian": "Сегодня утром мы пошли в лес и собрали много грибов, а потом вернулись домой и сварили суп.",
+    "greek": "Σήμερα το πρωί πήγαμε στο δάσος και μαζέψαμε πολλά μανιτάρια για το βράδυ.",
+    "mash": "asdkjh qwlekj zxmcnb qpwoei alskdj zmxncb qwpoei zxlkcj",
+    "hex": "deadbeef 0a1b2c3d4e5f 99aabbccddee ffee00112233 cafebabe",
+    "one letter": "a" * 200,
+    "long junk": "qzx wvk jqx zzk xqw " * 50_000,
+}
+
+
+def test_language_stage_drops_what_is_in_no_language_and_keeps_the_rest(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    junk = spark.createDataFrame([(10**6 + k, t, "en", "src0", len(t)) for k, t in enumerate(JUNK.values())], docs.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_known_language(spark, docs.unionByName(junk), "").collect()}
+    assert not [name for k, name in enumerate(JUNK) if 10**6 + k in kept]
+    for lang, n, stay in [(lang, len(ids), len(ids & kept)) for lang, ids in by_language(docs).items()]:
+        assert stay >= 0.99 * n, lang
+
+
+def by_language(docs):
+    out = {}
+    for r in docs.select("doc_id", "lang").collect():
+        out.setdefault(r["lang"], set()).add(r["doc_id"])
+    return out
