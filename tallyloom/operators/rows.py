@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import classify, language, text, trees
+from tallyloom.operators import sequence
 
 TYPE, ID, FIELD, SOURCE, TARGET = (f"`{c}`" for c in ("Type", "Identification", "Field", "Default content", "Translated content"))
 
@@ -114,6 +115,19 @@ def cut_fields(fields: DataFrame, id_col: str, value: str, most_tokens: int = 60
     return rows.select("parent", "part", F.col("_n").alias("n_parts"), name.alias("id"), F.col("_v").alias("value"))
 
 
+def field_batches(fields: DataFrame, group: str, order: str, id_col: str, value: str, most_tokens: int = 6000, cut_over: int = 6000) -> DataFrame:
+    """(group, order, parent, part, n_parts, id, value, weight, batch): fields of a group in order, packed into batches of at most most_tokens, each further field of a batch costing five more.
+    A field of more than cut_over tokens is cut (see pieces), and each part is a batch of its own. weight: tokens and those five. A null value is an empty one."""
+    whole = F.coalesce(F.col(value), F.lit(""))
+    large = text.estimated_tokens(whole) > cut_over
+    listed = fields.select(group, order, F.col(id_col).cast("string").alias("parent"), large.alias("_alone"), F.when(large, pieces(whole, cut_over)).otherwise(F.array(whole)).alias("_p"))
+    parts = listed.select(group, order, "parent", F.size("_p").alias("n_parts"), "_alone", F.posexplode("_p").alias("part", "value"))
+    name = F.when(F.col("n_parts") > 1, F.concat_ws(":chunk_", "parent", F.col("part").cast("string"))).otherwise(F.col("parent"))
+    weighed = parts.withColumn("id", name).withColumn("weight", (text.estimated_tokens(F.col("value")) + 5).cast("long"))
+    batched = sequence.greedy_batches(weighed, group, [order, "part"], "weight", most_tokens + 5, (most_tokens + 5) // 6 + 1, "_alone")
+    return batched.select(group, order, "parent", "part", "n_parts", "id", "value", "weight", "batch")
+
+
 def joined_fields(parts: DataFrame) -> DataFrame:
     """parts: (parent, part, n_parts, value). (id, value, whole): parts joined in order; whole is false where some are missing."""
     listed = F.array_sort(F.collect_list(F.struct("part", "value")))
