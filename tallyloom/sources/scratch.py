@@ -43,9 +43,9 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     """left join right on keys. Rows of left whose key holds more than 1 of HOT of them are dealt to PARTS parts by hash and meet a copy of right's rows in each. There are
     HOT such keys at most, so their list is sent to all tasks. left is read three times, so it should be a table."""
     total = left.count()
-    often = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") * HOT > max(total, HOT)).select(*keys, F.lit(True).alias("_hot"))
+    often = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_how_often")).filter(F.col("_how_often") * HOT > max(total, HOT)).select(*keys, F.lit(True).alias("_is_hot"))
     hot = F.broadcast(often)
     rest = [F.col(f"`{c}`") for c in left.columns if c not in keys] or [F.lit(0)]
-    dealt = left.join(hot, keys, "left").withColumn("_part", F.when(F.col("_hot"), F.pmod(F.xxhash64(*rest), F.lit(PARTS)).cast("int")).otherwise(0)).drop("_hot")
-    copied = right.join(hot, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), PARTS - 1).otherwise(0)))).drop("_hot")
-    return dealt.join(copied, [*keys, "_part"], how).drop("_part")
+    dealt = left.join(hot, keys, "left").withColumn("_spread", F.when(F.col("_is_hot"), F.pmod(F.xxhash64(*rest), F.lit(PARTS)).cast("int")).otherwise(0)).drop("_is_hot")
+    copied = right.join(hot, keys, "left").withColumn("_spread", F.explode(F.sequence(F.lit(0), F.when(F.col("_is_hot"), PARTS - 1).otherwise(0)))).drop("_is_hot")
+    return dealt.join(copied, [*keys, "_spread"], how).drop("_spread")
