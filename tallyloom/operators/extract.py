@@ -1,14 +1,13 @@
 """Texts taken out of products, other documents, templates and findings, and profiles of JSON."""
 
-import json
+import functools
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyloom.functions import language, text
 from tallyloom.operators.reshape import TEXT_TYPES
+from tallyloom.sources.scratch import kept
 
 # Attributes that a reader sees, values of theirs that are no text, and names that stay in English.
 SEEN_ATTRIBUTES = "placeholder|aria-label|alt|title"
@@ -20,6 +19,10 @@ ENGLISH_NAMES = (
 #: The title that a product without variants gives its only one.
 NO_VARIANT = "Default Title"
 
+#: Kinds of JSON values, by name; up to so many paths a profile sends to all tasks (a path and a sample each).
+KINDS = ("array", "bool", "float", "int", "null", "str")
+FEW_PATHS = 10_000
+
 _PAIR = "array<struct<field:string,value:string>>"
 
 
@@ -68,49 +71,56 @@ def visible_literals(lines: DataFrame, names: tuple[str, ...] = ()) -> DataFrame
     return found.filter((F.length(c) >= 2) & ~c.contains("{{") & ~c.contains("{%") & ~c.rlike(NO_TEXT) & ~F.lower(c).isin(*ENGLISH_NAMES, *names)).distinct()
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("kind", T.StringType()), T.StructField("value", T.StringType()), T.StructField("items", T.IntegerType())])))
-def json_paths(values: pd.Series) -> pd.Series:
-    """Every value in a JSON text with its path, arrays as path[]: of an array all items count, the first 50 are looked into; 15 levels at most, as deep as profiles go. Empty if it is no JSON."""
-    kinds = {bool: "bool", int: "int", float: "float", str: "str", type(None): "null"}
-
-    def one(value):
-        try:
-            todo = [("$", json.loads(value), 0)]
-        except (TypeError, ValueError):
-            return []
-        out = []
-        while todo:
-            path, node, depth = todo.pop()
-            if depth > 15:
-                continue
-            if isinstance(node, dict):
-                todo += [(f"{path}.{k}", v, depth + 1) for k, v in node.items()]
-            elif isinstance(node, list):
-                out.append({"path": f"{path}[]", "kind": "array", "value": None, "items": len(node)})
-                todo += [(f"{path}[]", v, depth + 1) for v in node[:50]]
-            else:
-                shown = None if node is None else node if isinstance(node, str) else json.dumps(node)
-                out.append({"path": path, "kind": kinds[type(node)], "value": shown, "items": None})
-        return out
-
-    return values.map(one)
-
-
-def json_dictionary(df: DataFrame, column: str, samples: int = 3) -> DataFrame:
-    """(path, kinds, n, n_filled, longest, n_spanish, samples, n_items): every path of a column of JSON texts with its kinds, how many values it has and how many that are neither empty nor zero, the longest text, texts that look
-    Spanish, the first distinct samples by order, cut at 200 characters, and the items of arrays."""
-    found = df.select(F.explode(json_paths(column)).alias("_p")).select("_p.*")
+def json_nodes(df: DataFrame, column: str, levels: int | None = None, items: int | None = None) -> DataFrame:
+    """(path, kind, value, items): every value in a column of JSON texts with its path, arrays as path[] with their number of items, other values with their text. Objects have no row of their own. Texts that
+    are no JSON, and nulls, have none. levels, items: how deep to go and how many items of an array to look into; all by default. A level is one pass over the objects and arrays of the one before, as VARIANT, written once."""
+    spark, done = df.sparkSession, []
+    now = df.select(F.lit("$").alias("path"), F.try_parse_json(column).alias("v")).filter(F.col("v").isNotNull())
+    depth = 0
+    while True:
+        shape = F.schema_of_variant("v")
+        kind = (
+            F.when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array").when(shape == "STRING", "str").when(shape == "BOOLEAN", "bool").when(shape == "VOID", "null")
+            .when((shape == "BIGINT") | shape.rlike(r"DECIMAL\(\d+,0\)"), "int").otherwise("float")
+        )
+        told = kept(now.withColumn("kind", kind))
+        array = F.col("kind") == "array"
+        size = F.when(array, F.size(F.try_variant_get("v", "$", "array<variant>")))
+        text_of = F.when(~array & (F.col("kind") != "null"), F.try_variant_get("v", "$", "string"))
+        done.append(told.filter("kind <> 'object'").select(F.when(array, F.concat("path", F.lit("[]"))).otherwise(F.col("path")).alias("path"), "kind", text_of.alias("value"), size.alias("items")))
+        inner = told.filter("kind IN ('object', 'array')")
+        if (levels is not None and depth >= levels) or not inner.limit(1).count():
+            break
+        below = inner.select("path", "kind", F.col("v").alias("_v")).lateralJoin(spark.tvf.variant_explode(F.col("_v").outer()))
+        below = below.filter((F.col("kind") == "object") | F.lit(items is None) | (F.col("pos") < (items or 0)))
+        now = below.select(F.when(F.col("kind") == "array", F.concat("path", F.lit("[]"))).otherwise(F.concat_ws(".", "path", "key")).alias("path"), F.col("value").alias("v"))
+        depth += 1
+    return functools.reduce(DataFrame.unionByName, done)
+
+
+def json_dictionary(df: DataFrame, column: str, samples: int = 3, levels: int | None = None, items: int | None = None) -> DataFrame:
+    """(path, kinds, n, n_filled, longest, n_spanish, n_distinct, samples, n_items): every path of a column of JSON texts with its kinds, how many values it has and how many that are neither empty nor zero, the longest text, texts that look
+    Spanish, about how many distinct values (a sketch, within a few hundredths), the first distinct samples by order, cut at 200 characters, and the items of arrays. See json_nodes for levels and items.
+
+    All but the samples are sums, maxima and sketches that tasks make and paths merge. Each sample is a minimum of what lies beyond the one before, so a path's values are never gathered, nor sorted."""
+    found = kept(json_nodes(df, column, levels, items))
     filled = ~text.blank(F.col("value")) & ~((F.col("kind") != "str") & F.col("value").isin("0", "0.0", "-0.0", "false"))
+    filled = F.coalesce(filled, F.lit(False))
     word = F.when((F.col("kind") == "str") & filled, F.col("value"))
-    once = found.groupBy("path", F.substring(F.when(filled, F.col("value")), 1, 200).alias("_s")).agg(
-        F.collect_set("kind").alias("_k"), F.count(F.lit(1)).alias("_n"), F.count_if(filled).alias("_f"), F.max(F.length(word)).alias("_l"), F.count_if(language.spanish_hint(word).isNotNull()).alias("_es"), F.sum("items").alias("_i")
-    )
-    rank = F.row_number().over(Window.partitionBy("path").orderBy(F.col("_s").asc_nulls_last()))
-    listed = F.array_sort(F.array_compact(F.collect_list(F.when(F.col("_r") <= samples, F.col("_s")))))
-    return once.withColumn("_r", rank).groupBy("path").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_k")))).alias("kinds"), F.sum("_n").alias("n"), F.sum("_f").alias("n_filled"), F.coalesce(F.max("_l"), F.lit(0)).cast("long").alias("longest"), F.sum("_es").alias("n_spanish"),
-        listed.alias("samples"), F.coalesce(F.sum("_i"), F.lit(0)).alias("n_items"),
+    shown = kept(found.filter(filled).select("path", F.substring("value", 1, 200).alias("_s")))
+    out = found.groupBy("path").agg(
+        *[F.bool_or(F.col("kind") == k).alias(f"_{k}") for k in KINDS], F.count(F.lit(1)).alias("n"), F.count_if(filled).alias("n_filled"), F.coalesce(F.max(F.length(word)), F.lit(0)).cast("long").alias("longest"),
+        F.count_if(language.spanish_hint(word).isNotNull()).alias("n_spanish"), F.approx_count_distinct(F.when(filled, F.col("value")), 0.02).alias("n_distinct"), F.coalesce(F.sum("items"), F.lit(0)).alias("n_items"),
     )
+    out = kept(out)
+    least = shown.groupBy("path").agg(F.min("_s").alias("_s0"))
+    for k in range(1, samples):
+        least = kept(least)
+        more = shown.join(F.broadcast(least) if least.count() <= FEW_PATHS else least, "path").filter(F.col("_s") > F.col(f"_s{k - 1}")).groupBy("path").agg(F.min("_s").alias(f"_s{k}"))
+        least = least.join(more, "path", "left")
+    kinds = F.array_compact(F.array(*[F.when(F.col(f"_{k}"), F.lit(k)) for k in KINDS]))
+    listed = F.array_compact(F.array(*[F.col(f"_s{k}") for k in range(samples)]))
+    return out.join(least, "path", "left").select("path", kinds.alias("kinds"), "n", "n_filled", "longest", "n_spanish", "n_distinct", listed.alias("samples"), "n_items")
 
 
 def mismatches(found: DataFrame, rows: DataFrame, order: str = "_row") -> DataFrame:

@@ -3,7 +3,7 @@
 Paths may be globs on any file system that Spark reads. Files are split over tasks by file; only a file that spans lines (multi-line JSON or CSV) is read whole.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,9 +76,11 @@ def customers(rows: DataFrame, country: str | None = None) -> DataFrame:
     return first.select("_r.*")
 
 
-def text_index(texts: DataFrame, text: str, page: str, order: str) -> DataFrame:
-    """(text, pages): pages on which a text was seen, each once, by where it was seen first. Blank texts are out."""
+def text_index(texts: DataFrame, text: str, page: str, order: str, most: int | None = None) -> DataFrame:
+    """(text, pages): pages on which a text was seen, each once, by where it was seen first. Blank texts are out. most: how many pages to list; without it a text's list holds all, however many."""
     seen = texts.filter(~blank(F.col(text))).groupBy(text, page).agg(F.min(order).alias("_first"))
+    if most is not None:  # Spark keeps no more than that of each text before rows meet
+        seen = seen.withColumn("_nth", F.row_number().over(Window.partitionBy(text).orderBy("_first", page))).filter(F.col("_nth") <= most).drop("_nth")
     listed = F.transform(F.array_sort(F.collect_list(F.struct("_first", page))), lambda x: x[page])
     return seen.groupBy(F.col(text).alias("text")).agg(listed.alias("pages"))
 
