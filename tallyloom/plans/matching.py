@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import classify, text
-from tallyloom.operators import contain, rows
+from tallyloom.operators import contain, extract, menus, rows
 from tallyloom.plans.catalog import query
 from tallyloom.sources import files
 from tallyloom.sources.tables import table
@@ -122,3 +122,57 @@ def m37(spark: SparkSession, sf_dir: str) -> DataFrame:
     handle = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("item-"), p, F.lit(".v2"))).otherwise(F.concat(F.lit("item-"), p))
     parts = table(spark, sf_dir, "part").select("p_partkey", handle.alias("handle"))
     return parts.join(contain.by_suffix(keys, parts), "handle").select("p_partkey", "key", F.col("what").alias("ord"))
+
+
+def orders_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, doc): an order with its lines as JSON. Strings, whole numbers, booleans, nulls, an array of objects and one of strings."""
+    line = F.struct(F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("flag"), F.col("l_quantity").cast("int").alias("n"), (F.col("l_linestatus") == "O").alias("open"))
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(line).alias("lines"), F.array_sort(F.collect_set("l_returnflag")).alias("flags"))
+    orders = table(spark, sf_dir, "orders").join(lines, "o_orderkey", "left")
+    whole = F.struct(F.struct(F.col("o_orderpriority").alias("priority"), F.when(F.col("o_orderstatus") == "F", F.col("o_orderstatus")).alias("state")).alias("head"), F.col("o_custkey").alias("customer"), "lines", "flags")
+    return orders.select("o_orderkey", F.to_json(whole, {"ignoreNullFields": "false"}).alias("doc"))
+
+
+@query(
+    "a22_paths",
+    """
+WITH l AS (SELECT * FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)), g AS (SELECT o_orderkey, count(l_orderkey) AS n, count(DISTINCT l_returnflag) AS f FROM orders LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY 1),
+v AS (
+  SELECT '$.head.priority' AS path, 'str' AS kind, o_orderpriority AS value, NULL::BIGINT AS items FROM orders
+  UNION ALL SELECT '$.head.state', CASE WHEN o_orderstatus = 'F' THEN 'str' ELSE 'null' END, CASE WHEN o_orderstatus = 'F' THEN 'F' END, NULL FROM orders
+  UNION ALL SELECT '$.customer', 'int', o_custkey::VARCHAR, NULL FROM orders
+  UNION ALL SELECT CASE WHEN n > 0 THEN '$.lines[]' ELSE '$.lines' END, CASE WHEN n > 0 THEN 'array' ELSE 'null' END, NULL, CASE WHEN n > 0 THEN n END FROM g
+  UNION ALL SELECT CASE WHEN n > 0 THEN '$.flags[]' ELSE '$.flags' END, CASE WHEN n > 0 THEN 'array' ELSE 'null' END, NULL, CASE WHEN n > 0 THEN f END FROM g
+  UNION ALL SELECT '$.flags[]', 'str', l_returnflag, NULL FROM (SELECT DISTINCT l_orderkey, l_returnflag FROM l)
+  UNION ALL SELECT '$.lines[].part', 'int', l_partkey::VARCHAR, NULL FROM l
+  UNION ALL SELECT '$.lines[].flag', 'str', l_returnflag, NULL FROM l
+  UNION ALL SELECT '$.lines[].n', 'int', l_quantity::INT::VARCHAR, NULL FROM l
+  UNION ALL SELECT '$.lines[].open', 'bool', CASE WHEN l_linestatus = 'O' THEN 'true' ELSE 'false' END, NULL FROM l),
+m AS (SELECT *, value IS NOT NULL AND value <> '' AND NOT (kind <> 'str' AND value IN ('0', 'false')) AS filled FROM v)
+SELECT path, list_sort(list(DISTINCT kind)) AS kinds, count(*) AS n, count(*) FILTER (WHERE filled) AS n_filled, coalesce(max(length(value)) FILTER (WHERE filled AND kind = 'str'), 0) AS longest,
+  list_slice(list_sort(coalesce(list(DISTINCT value) FILTER (WHERE filled), [])), 1, 3) AS samples, coalesce(sum(items), 0)::BIGINT AS n_items
+FROM m GROUP BY path""",
+)
+def a22_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.json_dictionary(orders_as_json(spark, sf_dir), "doc").select("path", "kinds", "n", "n_filled", "longest", "samples", "n_items")
+
+
+@query(
+    "p15_menu",
+    """
+WITH RECURSIVE c AS (SELECT p_partkey AS id, CASE WHEN p_partkey >= 3 THEN p_partkey // 3 END AS parent, -p_partkey AS pos, CASE WHEN p_size = 13 THEN '' ELSE p_name || ' ' || p_partkey END AS name,
+    CASE WHEN p_size % 4 = 0 THEN 'root' WHEN p_size = 7 THEN NULL ELSE 'k' || p_partkey END AS url_key, p_size % 3 AS n FROM part),
+k AS (SELECT 'k' || s_suppkey * 5 AS url_key, s_suppkey AS id FROM supplier),
+t AS (SELECT c.*, (coalesce(url_key, '') IN ('', 'root') OR name = '') AS over FROM c),
+w AS (SELECT id, NULL::BIGINT AS above, [pos] AS place, over FROM t WHERE parent IS NULL OR parent NOT IN (SELECT id FROM t)
+  UNION ALL SELECT t.id, CASE WHEN w.over THEN w.above ELSE w.id END, CASE WHEN w.over THEN list_append(w.place, t.pos) ELSE [t.pos] END, t.over FROM w JOIN t ON t.parent = w.id)
+SELECT w.id, above, place, name AS title, 'gid://shopify/Collection/' || k.id AS resource_id, CASE WHEN k.id IS NULL THEN '/collections/' || t.url_key END AS url
+FROM w JOIN t USING (id) LEFT JOIN k ON k.url_key = t.url_key WHERE NOT w.over AND (k.id IS NOT NULL OR n <> 0 OR w.id IN (SELECT parent FROM t))""",
+)
+def p15(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, size = F.col("p_partkey"), F.col("p_size")
+    name = F.when(size == 13, "").otherwise(F.concat_ws(" ", "p_name", k.cast("string")))
+    key = F.when(size % 4 == 0, "root").when(size == 7, None).otherwise(F.concat(F.lit("k"), k.cast("string")))
+    categories = table(spark, sf_dir, "part").select(F.lit(1).alias("tree"), k.alias("id"), F.when(k >= 3, F.expr("p_partkey div 3")).alias("parent"), (-k).alias("pos"), name.alias("name"), key.alias("url_key"), (size % 3).alias("product_count"))
+    collections = table(spark, sf_dir, "supplier").select(F.concat(F.lit("k"), (F.col("s_suppkey") * 5).cast("string")).alias("url_key"), F.col("s_suppkey").alias("id"))
+    return menus.category_menu(categories, collections, ("root",)).drop("tree")
