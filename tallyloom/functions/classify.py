@@ -168,6 +168,7 @@ def key_class(key: Column, value: Column) -> Column:
     """struct(category, reason) of a theme's key: shopify_platform, theme_locale, junk, useful or review, by the first rule that holds; keys before values."""
     v = stripped(F.coalesce(value, F.lit("")))
     bare = stripped(F.regexp_replace(v, "<[^>]+>", ""))
+    # The patterns of junk and what each is called.
     junk = (
         (v == "", "empty value"),
         (v.startswith("shopify://shop_images/") | v.startswith("gid://"), "image/file reference"),
@@ -214,6 +215,7 @@ def key_source(key: Column) -> Column:
 def is_no_display_text(value: Column) -> Column:
     """References, addresses, colours, numbers, sizes, switches, JSON and names of media files."""
     v = stripped(value)
+    # What is no text.
     patterns = (
         "^(shopify|gid|https?)://", "^/(?:collections|products|pages|blogs|cart)/", "^#[0-9a-fA-F]{3,8}$", r"^rgba?\(", r"^[\d.,]+$", r"(?i)^\d+\s*(px|em|rem|vh|vw|%|fr)$", "(?i)^(true|false)$",
         r"(?s)^(\{.*\}|\[.*\])$", r"(?i)^[^\n]*\.(png|jpg|jpeg|svg|webp|gif|mp4)$",
@@ -254,6 +256,7 @@ def script_issue(field: Column, source: Column, translated: Column, raw: Column)
     broken = stripped(raw).startswith("{") & raw.contains('"type"') & F.try_parse_json(raw).isNull()
     long, times = (F.length(source) > 20) & (F.length(translated) > 20), F.length(translated) / F.length(source)
     heading = ~long & (content_kind(field, source) == "heading") & (words <= 4) & (F.length(translated) > 200)
+    # Limits above and what each fault is called.
     rules = (
         (same, F.lit("untranslated: Arabic identical to English"), "high"),
         (none, F.lit("no Arabic script in translation"), "high"),

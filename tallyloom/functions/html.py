@@ -1,4 +1,4 @@
-"""HTML fragments cleaned of what a page builder leaves in them: Arrow UDFs over the standard parser."""
+"""HTML fragments cleaned of what a page builder leaves in them, in one pass of the standard parser over each, in Arrow batches."""
 
 import re
 from html.parser import HTMLParser
@@ -16,99 +16,108 @@ BUILDER_CLASSES = (
     "block-with-products|productsCarousel|mage-|left-image|text-wrapper"
 )
 
+#: Elements that go with all they hold, elements that may stand for the one element within them, and attributes that go whatever they say: data and event handlers.
+GONE, WRAPPERS = ("script", "style"), ("div", "span")
+_gone_attribute = re.compile(r"data-.*|on[^\W\d_]+", re.DOTALL)
 _builder = re.compile(BUILDER_CLASSES, re.IGNORECASE)
+_link_within = re.compile(r"""href\s*=\s*(?:"#([^"]+)"|'#([^']+)'|#([^\s>]+))""", re.IGNORECASE)
 
 
-class _Reader(HTMLParser):
-    """Keeps [tag, attributes, children] lists; text, references and comments are children as they stand."""
+class _Open:
+    """An element that is being read: how its tag is written and what came within so far."""
 
-    def __init__(self):
-        super().__init__(convert_charrefs=False)
-        self.open = [["", {}, []]]
+    __slots__ = ("elements", "kept", "parts", "points", "tag", "text", "written")
+
+    def __init__(self, tag: str, written: str, points: bool, kept: bool):
+        self.tag, self.written, self.points, self.kept = tag, written, points, kept
+        self.parts, self.elements, self.text = [], 0, False
+
+    def closed(self) -> str:
+        """The element as it goes on: nothing if it holds nothing and points nowhere; a bare wrapper of one element is that element."""
+        within = "".join(self.parts)
+        if not self.kept or not (self.parts or self.points):
+            return ""
+        if self.tag in WRAPPERS and self.written == f"<{self.tag}>" and self.elements == 1 and not self.text:
+            return "".join(p for p in self.parts if not p.startswith("<!--") and p.strip())
+        return f"{self.written}{within}</{self.tag}>"
 
-    def add(self, child):
-        self.open[-1][2].append(child)
+
+class _Cleaner(HTMLParser):
+    """Cleans in one pass: an element is written when it ends, from what its parts have become, so no tree is held.
+    keep: for an attribute's name the parts of its value that stay; attributes without an entry stay whole."""
+
+    def __init__(self, keep: dict):
+        super().__init__(convert_charrefs=False)
+        self.keep, self.open = keep, [_Open("", "", True, True)]
+
+    def written(self, tag: str, attrs: list) -> tuple[str, bool]:
+        told = {}
+        for name, value in attrs:
+            said = self.keep[name](value) if value and name in self.keep else value or ""
+            if not _gone_attribute.fullmatch(name) and (said or not value):
+                told[name] = said
+        signs = "".join(f" {n}" if v == "" else ' {}="{}"'.format(n, v.replace("&", "&amp;").replace('"', "&quot;")) for n, v in told.items())
+        return f"<{tag}{signs}>", bool(told.get("src") or told.get("href"))
+
+    def part(self, text: str, element: bool = False, shown: bool = False) -> None:
+        top = self.open[-1]
+        top.elements += element
+        top.text |= shown
+        if text:
+            top.parts.append(text)
+
+    def end(self) -> None:
+        done = self.open.pop()
+        self.part(done.closed(), element=done.kept)
 
     def handle_starttag(self, tag, attrs):
-        node = [tag, dict(attrs), []]
-        self.add(node)
-        if tag not in VOID:
-            self.open.append(node)
+        if tag in VOID:
+            self.part(self.written(tag, attrs)[0], element=True)
+        else:
+            self.open.append(_Open(tag, *self.written(tag, attrs), tag not in GONE))
 
     def handle_startendtag(self, tag, attrs):
-        self.add([tag, dict(attrs), []])
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.end()
 
     def handle_endtag(self, tag):
-        depth = next((k for k in range(len(self.open) - 1, 0, -1) if self.open[k][0] == tag), None)
-        if depth and tag not in VOID:
-            del self.open[depth:]
+        if tag not in VOID and any(o.tag == tag for o in self.open[1:]):
+            while self.open[-1].tag != tag:
+                self.end()
+            self.end()
 
     def handle_data(self, data):
-        self.add(data)
+        self.part(data, shown=bool(data.strip()))
 
     def handle_entityref(self, name):
-        self.add(f"&{name};")
+        self.part(f"&{name};", shown=True)
 
     def handle_charref(self, name):
-        self.add(f"&#{name};")
+        self.part(f"&#{name};", shown=True)
 
     def handle_comment(self, data):
-        self.add(f"<!--{data}-->")
-
-
-def _links(node) -> set:
-    """Names that links within the fragment point to."""
-    own = {node[1]["href"][1:]} if (node[1].get("href") or "").startswith("#") else set()
-    return own.union(*(_links(c) for c in node[2] if isinstance(c, list)))
-
-
-def _attributes(attrs: dict, classes, ids, links: set) -> dict:
-    out = {}
-    for name, value in attrs.items():
-        if name.startswith("data-") or (name.startswith("on") and name[2:].isalpha()):
-            continue
-        if name == "class" and value:
-            value = " ".join(c for c in value.split() if (c in classes if classes is not None else not _builder.match(c)))
-            if not value:
-                continue
-        if name == "id" and value and ids is not None and value not in ids and value not in links:
-            continue
-        out[name] = value or ""
-    return out
-
-
-def _bare(node, classes, ids, links):
-    """Without scripts, styles and attributes that say nothing; wrappers of one element are that element."""
-    node[1] = _attributes(node[1], classes, ids, links)
-    node[2] = [_bare(c, classes, ids, links) if isinstance(c, list) else c for c in node[2] if not isinstance(c, list) or c[0] not in ("script", "style")]
-    inner = [c for c in node[2] if isinstance(c, list)]
-    text = any(isinstance(c, str) and not c.startswith("<!--") and c.strip() for c in node[2])
-    return inner[0] if node[0] in ("div", "span") and not node[1] and len(inner) == 1 and not text else node
-
-
-def _html(node) -> str:
-    """Elements that hold nothing and point nowhere are left out."""
-    inner = "".join(c if isinstance(c, str) else _html(c) for c in node[2])
-    tag, attrs, _ = node
-    if not tag:
-        return inner
-    if not inner and tag not in VOID and not attrs.get("src") and not attrs.get("href"):
-        return ""
-    written = "".join(f" {k}" if v == "" else ' {}="{}"'.format(k, v.replace("&", "&amp;").replace('"', "&quot;")) for k, v in attrs.items())
-    return f"<{tag}{written}>" + ("" if tag in VOID else f"{inner}</{tag}>")
+        self.part(f"<!--{data}-->")
+
+    def whole(self, html: str) -> str:
+        self.feed(html)
+        self.close()
+        while len(self.open) > 1:
+            self.end()
+        return "".join(self.open[0].parts)
 
 
 def cleaned(html: str | None, classes=None, ids=None) -> str | None:
     """A fragment without scripts, styles, data and event attributes, foreign classes and ids, empty elements and mere wrappers. classes, ids: those that the theme
-    has; without, only a page builder's classes go and ids stay."""
+    has; without, only a page builder's classes go and ids stay, as do always ids that a link within the fragment points to."""
     if not html:
         return html
-    reader = _Reader()
-    reader.feed(html)
-    reader.close()
-    root = reader.open[0]
-    text = _html(_bare(root, classes, ids, _links(root)))
-    text = re.sub(r"(?:&nbsp;\s*){3,}", " ", text)
+    own = {next(filter(None, found)) for found in _link_within.findall(html)}
+    mine = (lambda c: not _builder.match(c)) if classes is None else classes.__contains__
+    keep = {"class": lambda value: " ".join(filter(mine, value.split()))}
+    if ids is not None:
+        keep["id"] = lambda value: value if value in ids or value in own else ""
+    text = re.sub(r"(?:&nbsp;\s*){3,}", " ", _Cleaner(keep).whole(html))
     return re.sub(" {2,}", " ", re.sub(r"\n{3,}", "\n\n", text)).strip()
 
 
