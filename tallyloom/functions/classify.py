@@ -317,5 +317,5 @@ def image_preset(section: Column, key: Column) -> Column:
 
 
 def normal_json(value: Column) -> Column:
-    """A JSON value written again without blanks, null if it is none."""
+    """A JSON value written again without blanks, null if it is none. What follows a whole value is passed over."""
     return F.to_json(F.try_parse_json(value))
