@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import classify, language, text
-from tallyloom.operators import changes, extract, reshape
+from tallyloom.operators import changes, extract, reshape, stores
 from tallyloom.plans.catalog import query
 from tallyloom.sources.tables import table
 
@@ -335,3 +335,162 @@ def f29(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k07(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = changes.batches(table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", 3, "o_orderkey")
     return found.select("o_custkey", "batch", F.transform("rows", lambda r: r["o_orderkey"]).alias("keys"))
+
+
+# --- two stores ---------------------------------------------------------------------------------------------------------------
+
+
+def key(letter: str, column: str):
+    return F.concat(F.lit(letter), F.col(column).cast("string"))
+
+
+@query(
+    "m09_article_paths",
+    """WITH s AS (SELECT o_orderkey AS id, 'b' || o_custkey % 9 AS b, 'a' || o_orderkey AS h FROM orders), t AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'b' || o_custkey % 3 END AS b, 'a' || o_orderkey AS h FROM orders WHERE o_orderstatus <> 'F')
+SELECT '/blogs/' || s.b || '/' || s.h AS old, '/blogs/' || t.b || '/' || t.h AS new FROM s JOIN t USING (id) WHERE t.b <> '' AND s.b <> t.b""",
+)
+def m09(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").withColumn("n", F.col("o_custkey") % 9).withColumn("m", F.col("o_custkey") % 3)
+    source = orders.select(F.col("o_orderkey").alias("id"), key("b", "n").alias("blog_handle"), key("a", "o_orderkey").alias("handle"))
+    target = orders.filter("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 7 == 0, "").otherwise(key("b", "m")).alias("blog_handle"), key("a", "o_orderkey").alias("handle"))
+    return stores.article_paths(source, target)
+
+
+@query(
+    "m31_menu_items",
+    """WITH i AS (SELECT o_custkey AS menu, o_orderkey AS pos, CASE o_orderkey % 4 WHEN 0 THEN 'https://a.com/collections/h' || o_custkey || '/' WHEN 1 THEN 'https://a.com/pages/h' || o_custkey WHEN 2 THEN 'x/products/h' || o_custkey ELSE 'https://b.com' END AS url, o_orderkey % 4 AS k FROM orders),
+s AS (SELECT 'h' || s_suppkey AS h, s_suppkey AS id FROM supplier)
+SELECT menu, pos, CASE WHEN s.id IS NOT NULL THEN CASE k WHEN 0 THEN 'gid://shopify/Collection/' WHEN 1 THEN 'gid://shopify/OnlineStorePage/' ELSE 'gid://shopify/Product/' END || s.id END AS resource_id,
+  CASE WHEN s.id IS NULL THEN CASE k WHEN 0 THEN '/collections/h' || menu || '/' WHEN 1 THEN '/pages/h' || menu WHEN 2 THEN '/x/products/h' || menu ELSE '/' END END AS url FROM i LEFT JOIN s ON s.h = 'h' || menu AND k < 3""",
+)
+def m31(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, h = F.col("o_orderkey") % 4, key("h", "o_custkey")
+    url = F.when(k == 0, F.concat(F.lit("https://a.com/collections/"), h, F.lit("/"))).when(k == 1, F.concat(F.lit("https://a.com/pages/"), h)).when(k == 2, F.concat(F.lit("x/products/"), h)).otherwise("https://b.com")
+    gid = F.when(k == 0, "gid://shopify/Collection/1").when(k == 1, "gid://shopify/Page/1").when(k == 2, "gid://shopify/Product/1")
+    items = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("menu"), F.col("o_orderkey").alias("pos"), F.lit("t").alias("title"), url.alias("url"), gid.alias("resource_id"))
+    known = table(spark, sf_dir, "supplier").select(F.explode(F.array(*map(F.lit, ("collections", "pages", "products")))).alias("kind"), key("h", "s_suppkey").alias("handle"), F.col("s_suppkey").alias("id"))
+    return stores.resolved_menu_items(items, known, ["https://a.com", "https://b.com"]).drop("title")
+
+
+@query(
+    "m11_mapped_differences",
+    """WITH l AS (SELECT 'c' || c_custkey AS handle, c_mktsegment AS a, c_nationkey::VARCHAR AS b FROM customer), r AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN 'n' ELSE 'c' END || c_custkey AS handle, c_mktsegment AS a, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_nationkey::VARCHAR END AS b FROM customer WHERE c_custkey % 5 <> 0),
+m AS (SELECT l.handle, coalesce(r1.handle, r2.handle) AS matched, CASE WHEN coalesce(r1.handle, r2.handle) IS NULL THEN NULL ELSE CASE WHEN l.b <> coalesce(CASE WHEN r1.handle IS NOT NULL THEN r1.b ELSE r2.b END, '') THEN ['b'] ELSE []::VARCHAR[] END END AS differing
+  FROM l LEFT JOIN r r1 ON r1.handle = l.handle LEFT JOIN r r2 ON r2.handle = 'n' || l.handle[2:] AND l.handle[2:]::INT % 2 = 0)
+SELECT handle, matched, CASE WHEN matched IS NULL THEN 'missing' WHEN len(differing) > 0 THEN 'differs' ELSE 'same' END AS verdict, differing FROM m
+UNION ALL SELECT NULL, handle, 'only_right', NULL FROM r WHERE handle NOT IN (SELECT matched FROM m WHERE matched IS NOT NULL)""",
+)
+def m11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    left = people.select(key("c", "c_custkey").alias("handle"), F.col("c_mktsegment").alias("a"), F.col("c_nationkey").alias("b"))
+    right = people.filter(k % 5 != 0).select(F.when(k % 3 == 0, key("n", "c_custkey")).otherwise(key("c", "c_custkey")).alias("handle"), F.col("c_mktsegment").alias("a"), F.when(k % 4 != 0, F.col("c_nationkey")).alias("b"))
+    handles = people.filter(k % 2 == 0).select(key("c", "c_custkey").alias("old"), key("n", "c_custkey").alias("new"))
+    return stores.mapped_differences(left, right, handles, ["a", "b"])
+
+
+@query(
+    "m13_navigation",
+    """WITH l AS (SELECT o_custkey AS menu, o_orderkey AS pos, 'p' || o_orderkey AS path, o_orderkey % 3 AS n FROM orders), r AS (SELECT o_custkey AS menu, 'p' || o_orderkey AS path, o_orderkey % 2 AS n FROM orders WHERE o_orderstatus <> 'F' AND o_custkey % 4 <> 0)
+SELECT l.menu, l.pos, CASE WHEN l.menu NOT IN (SELECT menu FROM r) THEN 'missing_menu' WHEN r.path IS NULL THEN 'missing' WHEN l.n <> r.n THEN 'children' ELSE 'same' END AS verdict FROM l LEFT JOIN r ON r.menu = l.menu AND r.path = l.path""",
+)
+def m13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    row = lambda url, n: [F.col("o_custkey").alias("menu"), F.col("o_orderkey").alias("pos"), F.lit("t").alias("title"), url.alias("url"), (F.col("o_orderkey") % n).alias("n_children")]
+    left = orders.select(*row(F.concat(F.lit("https://a.com/en/p"), F.col("o_orderkey").cast("string"), F.lit("/")), 3))
+    right = orders.filter("o_orderstatus <> 'F' AND o_custkey % 4 <> 0").select(*row(F.concat(F.lit("https://b.com/p"), F.col("o_orderkey").cast("string")), 2))
+    return stores.navigation_differences(left, right).drop("title")
+
+
+@query("m54_empty_groups", "SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1)")
+def m54(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R' AND l_linenumber = 1").select(F.col("l_partkey").alias("p_partkey"))
+    return stores.without_members(table(spark, sf_dir, "part").select("p_partkey", "p_name"), lines, "p_partkey")
+
+
+@query(
+    "m39_image_alts",
+    "SELECT l_orderkey * 100 + rn AS image_id, a AS alt FROM (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS rn, CASE WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag || l_partkey END AS a FROM lineitem) WHERE rn < 3 AND a <> ''",
+)
+def m39(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    alt = F.when(F.col("l_returnflag") == "N", "").otherwise(F.concat("l_returnflag", F.col("l_partkey").cast("string")))
+    local = lines.groupBy(F.col("l_orderkey").alias("handle")).agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", alt.alias("a")))), lambda x: x["a"]).alias("alts"))
+    target = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("handle"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("pos")).select("handle", (F.col("handle") * 100 + F.col("pos")).alias("image_id"), "pos")
+    return stores.image_alts(local, target)
+
+
+@query(
+    "m38_metafields",
+    """WITH m AS (SELECT o_orderkey AS id, 'h' || o_custkey AS handle, o_orderpriority AS key, CASE WHEN o_orderkey % 6 = 0 THEN 'list.product_reference' ELSE 'text' END AS type FROM orders WHERE o_orderkey % 10 <> 0),
+c AS (SELECT o_orderkey AS id, 'e' || o_orderkey AS english, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'd' || o_orderkey END AS digest, CASE WHEN o_orderkey % 4 = 1 THEN 'there' END AS t FROM orders),
+l AS (SELECT 'h' || o_custkey AS handle, o_orderpriority AS key, max('t' || o_orderkey) AS t FROM orders WHERE o_orderkey % 3 = 0 GROUP BY ALL)
+SELECT m.id, m.handle, m.key, english, digest, l.t AS translation, CASE WHEN l.t IS NOT NULL THEN 'upload' ELSE 'translate' END AS action
+FROM m JOIN c USING (id) LEFT JOIN l ON l.handle = m.handle AND l.key = m.key WHERE type = 'text' AND digest IS NOT NULL AND c.t IS NULL AND m.id % 11 <> 0""",
+)
+def m38(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    own = [k.alias("id"), key("h", "o_custkey").alias("handle"), F.col("o_orderpriority").alias("key")]
+    metafields = orders.select(*own, F.when(k % 10 == 0, " ").otherwise("v").alias("value"), F.when(k % 6 == 0, "list.product_reference").otherwise("text").alias("type"))
+    content = orders.select(k.alias("id"), key("e", "o_orderkey").alias("english"), F.when(F.col("o_orderstatus") != "P", key("d", "o_orderkey")).alias("digest"), F.when(k % 4 == 1, "there").alias("translation"))
+    local = orders.filter(k % 3 == 0).select(*own[1:], key("t", "o_orderkey").alias("translation"))
+    return stores.metafield_translations(metafields, content, local, orders.filter(k % 11 == 0).select(k.alias("id")))
+
+
+@query("m44_unmatched", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 3 <> 0 AND o_custkey NOT IN (SELECT s_suppkey FROM supplier)")
+def m44(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("k"), (F.col("o_orderstatus") == "O").alias("has_translation"), F.when(F.col("o_orderkey") % 3 == 0, " ").otherwise("t").alias("translation"))
+    return stores.unmatched_translations(fields, table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k")), ["k"]).select("o_orderkey")
+
+
+@query(
+    "t29_places",
+    """WITH p AS (SELECT c_custkey AS ord, CASE WHEN c_custkey % 3 = 0 THEN 'Al ' WHEN c_custkey % 3 = 1 THEN 'Al-' ELSE '' END || 'Qa''ra' || c_custkey // 2 AS en, 'مدينة' || c_custkey AS ar FROM customer), r AS (SELECT n_nationkey AS ord, n_name AS en, '' AS ar FROM nation),
+s AS (SELECT 0 AS k, ord, en, lower(en) AS spelling FROM p UNION ALL SELECT 0, ord, en, ar FROM p UNION ALL SELECT 0, ord, en, replace(lower(en), '''', '') FROM p UNION ALL SELECT 0, ord, en, lower(en)[4:] FROM p WHERE en LIKE 'Al %' OR en LIKE 'Al-%' UNION ALL SELECT 1, ord, en, lower(en) FROM r)
+SELECT spelling, max_by(en, k * 1000000000 + ord) AS name FROM s GROUP BY 1""",
+)
+def t29(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    begin = F.when(k % 3 == 0, "Al ").when(k % 3 == 1, "Al-").otherwise("")
+    places = table(spark, sf_dir, "customer").select(F.concat(begin, F.lit("Qa'ra"), F.expr("c_custkey div 2").cast("string")).alias("name_en"), key("مدينة", "c_custkey").alias("name_ar"), k.alias("ord"))
+    regions = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name_en"), F.lit("").alias("name_ar"), F.col("n_nationkey").cast("long").alias("ord"))
+    return stores.place_names(places, regions)
+
+
+@query("a24_spanish_prefix", "SELECT o_orderstatus AS prefix, count(*) AS n FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 5 > 1 GROUP BY 1")
+def a24(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    name = F.when(k % 5 == 0, "handle").when(k % 5 == 1, "inci_name").otherwise("title")
+    fields = table(spark, sf_dir, "orders").select(F.concat_ws(".", "o_orderstatus", k.cast("string"), name).alias("key"), F.when(k % 2 == 0, "champú para el cabello").otherwise("plain words").alias("value"))
+    return stores.spanish_by_prefix(fields)
+
+
+@query(
+    "m59_images",
+    """WITH p AS (SELECT l_orderkey AS id, min(l_linenumber) FILTER (WHERE l_returnflag <> 'N') AS n FROM lineitem GROUP BY 1), f AS (SELECT p.id, min(l_partkey) AS sku FROM p JOIN lineitem ON l_orderkey = p.id AND l_linenumber = p.n AND l_returnflag <> 'N' GROUP BY 1)
+SELECT id, ['u' || sku] AS images FROM f WHERE sku % 4 <> 0 AND id % 5 <> 0 AND sku IN (SELECT p_partkey FROM part)""",
+)
+def m59(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sku = F.when(F.col("l_returnflag") == "N", "").otherwise(F.col("l_partkey").cast("string"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", sku.alias("s")))), lambda x: x["s"])
+    first = F.get(F.filter("skus", lambda s: s != ""), F.lit(0))
+    products = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(listed.alias("skus")).withColumn("images", F.when(F.col("id") % 5 == 0, F.array(F.concat(F.lit("u"), first))).otherwise(F.array().cast("array<string>")))
+    images = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("sku"), F.when(F.col("p_partkey") % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(key("u", "p_partkey"))).alias("images"))
+    return stores.images_by_sku(products, images)
+
+
+@query(
+    "m60_prices",
+    """WITH v AS (SELECT l_suppkey AS product_id, 'h' || l_suppkey % 40 AS handle, l_orderkey * 100 + l_linenumber AS variant_id FROM lineitem), p AS (SELECT 'h' || s_suppkey AS handle, s_acctbal AS price FROM supplier), f AS (SELECT handle, min(product_id) AS product_id FROM v GROUP BY 1)
+SELECT p.handle, v.variant_id, CASE WHEN v.variant_id IS NOT NULL THEN price END AS price, v.variant_id IS NOT NULL AS found FROM p LEFT JOIN (SELECT v.* FROM v JOIN f USING (handle, product_id)) v ON v.handle = p.handle""",
+)
+def m60(spark: SparkSession, sf_dir: str) -> DataFrame:
+    variants = table(spark, sf_dir, "lineitem").withColumn("m", F.col("l_suppkey") % 40).select(F.col("l_suppkey").alias("product_id"), key("h", "m").alias("handle"), (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("variant_id"))
+    return stores.prices_by_handle(table(spark, sf_dir, "supplier").select(key("h", "s_suppkey").alias("handle"), F.col("s_acctbal").alias("price")), variants)
+
+
+@query("m51_group_links", "SELECT DISTINCT s_nationkey AS group_id, l_partkey * 10 AS product_id FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_partkey % 3 <> 0 AND l_suppkey % 4 <> 0")
+def m51(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members = table(spark, sf_dir, "lineitem").select(F.when(F.col("l_suppkey") % 4 == 0, "").otherwise(key("k", "l_suppkey")).alias("url_key"), key("p", "l_partkey").alias("sku"))
+    groups = table(spark, sf_dir, "supplier").select(key("k", "s_suppkey").alias("url_key"), F.col("s_nationkey").alias("id"))
+    products = table(spark, sf_dir, "part").filter("p_partkey % 3 <> 0").select(key("p", "p_partkey").alias("sku"), (F.col("p_partkey") * 10).alias("id"))
+    return stores.group_links(members, groups, products)
