@@ -503,4 +503,4 @@ def a12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j09(spark, sf_dir).groupBy("from_type", "to_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-from tallyloom.plans import fields, jobs, matching, translation  # noqa: E402, F401 (register their queries)
+from tallyloom.plans import fields, jobs, matching, shop, translation  # noqa: E402, F401 (register their queries)
