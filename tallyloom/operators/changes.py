@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions import classify, html, language, text, trees
 
@@ -241,7 +242,7 @@ def dissimilar_sources(rows: DataFrame, row_id: str, source: str, translated: st
 def translated_fields(fields: DataFrame, translate: Callable[[list[str]], list[str | None]], size: int = 80, retries: int = 1) -> DataFrame:
     """fields: (id, value). Adds translation, null where none came. translate: takes texts and gives as many texts or nulls; it runs in the tasks, on `size` texts at a time, and is asked again for those that are
     missing. Equal texts of a batch are asked once; blank ones are not asked."""
-    schema = fields.schema.simpleString()[len("struct<") : -1] + ",translation:string"
+    schema = T.StructType([*fields.schema.fields, T.StructField("translation", T.StringType())])
 
     def run(batches_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches_:
@@ -254,4 +255,4 @@ def translated_fields(fields: DataFrame, translate: Callable[[list[str]], list[s
                 asked = [v for v in asked if v not in known]
             yield batch.assign(translation=[known.get(v) for v in batch["value"]])
 
-    return fields.mapInPandas(run, schema.replace(":", " "))
+    return fields.mapInPandas(run, schema)

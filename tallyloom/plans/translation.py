@@ -117,10 +117,10 @@ def t19(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", trees.unicode_slug(F.concat("p_name", F.lit(" & Co™"))).alias("slug"))
 
 
-@query("t23_cut_and_join", "SELECT doc_id, count(*) OVER (PARTITION BY doc_id) AS n, TRUE AS whole, sha256(text) AS sha FROM documents WHERE text IS NOT NULL")
+@query("t23_cut_and_join", "SELECT doc_id, count(*) OVER (PARTITION BY doc_id) AS n, TRUE AS whole, sha256(coalesce(text, '')) AS sha FROM documents")
 def t23(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text cut at 300 tokens and joined again."""
-    docs = table(spark, sf_dir, "documents").filter("text is not null")
+    """Every text cut at 300 tokens and joined again; a null text is an empty one."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
     parts = rows.cut_fields(docs.select(F.col("doc_id").cast("string").alias("id"), "text"), "id", "text", 300)
     whole = rows.joined_fields(parts)
     return whole.select(F.col("id").cast("long").alias("doc_id"), F.lit(1).cast("long").alias("n"), "whole", F.sha2("value", 256).alias("sha"))
@@ -324,7 +324,7 @@ def m36(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "m42_locale_split",
-    """WITH t AS (SELECT 'k' || c_custkey AS key, CASE WHEN c_custkey % 4 = 0 THEN '' WHEN c_custkey % 4 = 1 THEN c_mktsegment WHEN c_custkey % 4 = 2 THEN '12' ELSE 'نص' END AS value FROM customer WHERE c_custkey % 3 <> 0), s AS (SELECT 'k' || c_custkey AS key, c_mktsegment AS v FROM customer WHERE c_custkey % 5 <> 0),
+    """WITH t AS (SELECT 'k' || c_custkey AS key, CASE WHEN c_custkey % 4 = 0 THEN '' WHEN c_custkey % 4 = 1 THEN c_mktsegment WHEN c_custkey % 4 = 2 THEN '12' ELSE 'نص' END AS value FROM customer WHERE c_custkey % 3 <> 0), s AS (SELECT 'k' || c_custkey AS key, c_mktsegment AS v FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 5 <> 0),
 j AS (SELECT coalesce(t.key, s.key) AS key, t.value, s.v AS source_value, t.key IS NOT NULL AS there, s.key IS NOT NULL AS src FROM t FULL JOIN s ON t.key = s.key)
 SELECT key, value, source_value, CASE WHEN there AND NOT src THEN 'orphan' WHEN coalesce(trim(value), '') = '' AND trim(source_value) <> '' THEN 'missing' WHEN value = source_value THEN 'identical' WHEN value = '12' THEN 'junk' WHEN there THEN 'useful' END AS action FROM j""",
 )
@@ -332,7 +332,7 @@ def m42(spark: SparkSession, sf_dir: str) -> DataFrame:
     people_, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
     key = F.concat(F.lit("k"), k.cast("string")).alias("key")
     target = people_.filter("c_custkey % 3 <> 0").select(key, F.when(k % 4 == 0, "").when(k % 4 == 1, F.col("c_mktsegment")).when(k % 4 == 2, "12").otherwise("نص").alias("value"))
-    source = people_.filter("c_custkey % 5 <> 0").select(key, F.col("c_mktsegment").alias("value"))
+    source = people_.filter("c_custkey % 3 = 0 OR c_custkey % 5 <> 0").select(key, F.col("c_mktsegment").alias("value"))
     return match.locale_split(target, source, classify.key_class(F.col("key"), F.col("value"))["category"] == "junk")
 
 
@@ -424,9 +424,9 @@ def a28(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.batch_cost(table(spark, sf_dir, "documents"), "source", "text", 50)
 
 
-@query("l06_append_new", "SELECT doc_id, quality FROM labels WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 2 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id % 2 = 0)")
+@query("l06_append_new", "SELECT doc_id, quality FROM labels UNION ALL SELECT doc_id, 2 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def l06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").filter("doc_id % 2 = 0").select("doc_id", "quality")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return reshape.append_new(labels, table(spark, sf_dir, "documents").select("doc_id", F.lit(2).alias("quality")), "doc_id")
 
 
