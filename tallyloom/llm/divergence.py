@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import durable
+from tallyloom.llm.shared import durable, importable
 
 #: Kept terms are those of so many documents of a language; what a term is seen beyond its occurrences; parts of the whole that a share is told in; terms listed a group.
 MIN_DOCS, PRIOR, SCALE, TOP = 3, 1, 1_000_000_000, 200
@@ -115,6 +115,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, block_terms
     Null text, language and source are empty. A group without kept terms has its pairs, with 0 if its language has no kept term, and no terms. Long texts are counted a slice at a time. Rows that
     repeat count each. Extra columns are ignored, whatever they are called. An empty table gives no rows.
     """
+    importable(docs.sparkSession)
     kept = durable(kept_terms(counted(docs, text_col, lang_col, source_col), min_docs))
     of_kept = kept.select("_lang", F.explode("_of").alias("_o")).groupBy("_lang", F.col("_o._source").alias("_source")).agg(F.sum("_o._n").alias("_total"))
     groups = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_col, "_lang"), (source_col, "_source"))]).distinct()

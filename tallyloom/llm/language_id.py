@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.llm.shared import importable
+
 UNKNOWN = "und"
 DIMENSIONS, ORDER, SEED = 512, 3, 7
 #: Bound of the fit: labelled documents per language that are expected in the sample; tasks that sum them up, in all and of one language.
@@ -164,6 +166,7 @@ def fit(
     row of `dimensions` numbers a language, are the only thing that grows with them. Rows without text or language teach nothing; an
     empty table, or one without labels, gives no languages.
     """
+    importable(labelled.sparkSession)
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
     counts = rows.groupBy("_lang").agg((F.lit(float(per_language)) / F.count(F.lit(1))).alias("_share")).collect()  # a row a language, as the prototypes have
     shares = labelled.sparkSession.createDataFrame([tuple(r) for r in counts], rows.select("_lang", F.lit(1.0).alias("_share")).schema)
@@ -208,6 +211,7 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
     repeat an id are judged one by one. A text of any length is looked at whole, BATCH_CHARS characters at a time. An empty table gives no rows.
     Extra columns are ignored.
     """
+    importable(docs.sparkSession)
     keep = [id_col] if keep is None else keep
     taken = {"lang_pred", "score", "cosine"} & set(keep)
     if taken:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import durable
+from tallyloom.llm.shared import durable, importable
 
 #: Words that are classes of their own, classes of all other words by their last two bytes, words whose counts are sent to all tasks.
 FREQUENT, ENDINGS, LISTED = 767, 256, 16_384
@@ -125,6 +125,7 @@ def fit(
     Null and blank texts teach nothing. Rows that repeat an id count each. An empty table gives models in which all words are unheard of.
     Texts of any length are counted whole.
     """
+    importable(docs.sparkSession)
     chosen = durable(target_ids.select(F.col(target_ids.columns[0]).alias("_chosen")).filter(F.col("_chosen").isNotNull()).distinct())
     few = F.broadcast(chosen) if chosen.count() <= FEW_IDS else chosen
     marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(few, F.col("_id") == F.col("_chosen"), "left").select("_text", F.col("_chosen").isNotNull().alias("_mark"))
@@ -203,6 +204,7 @@ def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
     A null or blank text has no words and 0 throughout. Rows that repeat an id are scored one by one. Extra columns are ignored, whatever they are
     called. An empty table gives no rows.
     """
+    importable(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     table, size = models.words, len(models.target)
     shared = docs.sparkSession.sparkContext.broadcast([getattr(models, x) for x in ("listed", "counts", "frequent", "endings", "target", "background", "inside", "scale", "floor")])  # 8 bytes a pair of classes, 24 a listed word

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import durable
+from tallyloom.llm.shared import durable, importable
 
 NEIGHBOURS, PROJECTED, LEAF, CONFIDENCE, SEED = 10, 32, 64, 0.95, 17
 #: Vectors under one tree, queries that one task answers from it, cells of the upper levels, sampled vectors that place each cell.
@@ -214,6 +214,7 @@ def nearest_neighbours(
     length than the query's are no candidates. With fewer than k candidates all are returned, and an empty table gives no rows. Extra
     columns are ignored, whatever they are called.
     """
+    importable(table.sparkSession)
     if projected % 2:
         raise ValueError("projected: an even number")
     ratio = stopping_ratio(projected, confidence)

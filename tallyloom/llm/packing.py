@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import durable
+from tallyloom.llm.shared import durable, importable
 
 WINDOW, OPEN_WINDOWS, END_ID = 2048, 16, 1
 #: Leftovers of so many partitions meet in one task: at most MERGE_PARTS * WINDOW tokens.
@@ -200,6 +200,7 @@ def pack_documents(
     freely, each id lying in exactly one piece. An empty table gives no rows. Extra columns are ignored. The packed
     pieces are written to the shared folder before the merge reads them, so a retried task cannot deal ids twice.
     """
+    importable(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = PIECES.format(id=id_type)
     end = np.asarray([end_id], "<u4").tobytes()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.mixing import numbered
-from tallyloom.llm.shared import UPPER, durable
+from tallyloom.llm.shared import UPPER, durable, importable
 
 MAX_N, BUCKETS, MIN_WORDS, DRAW_PERCENT, SEED = 1, 10_000, 20, 10, 2024
 #: A word, once A-Z are lower-cased: digits, letters a-z and all that is not ASCII. The same set of characters as bytes of UTF-8, for cutting long texts.
@@ -67,6 +67,7 @@ def spilled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max
 
     Each partition's texts go through an in-memory DuckDB, some 8 MB at a time: SQL unnests the words, windows them to n-grams and counts them by bucket, a registered function giving zlib's CRC-32.
     """
+    importable(docs.sparkSession)
     sql, id_type = features_sql(max_n, buckets), docs.schema[id_col].dataType.simpleString()
     kinds = {"_row": pa.int64(), "_words": pa.int64(), "_buckets": pa.list_(pa.int32()), "_times": pa.list_(pa.int64())}
 

@@ -6,9 +6,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.sources.tables import table
+from tallyloom.sources.tables import importable, table
 
-__all__ = ["BLANKS", "UPPER", "ascii_lower", "discard", "durable", "written", "partitions", "shared_folder", "spread_join", "table"]
+__all__ = ["BLANKS", "UPPER", "ascii_lower", "discard", "durable", "importable", "written", "partitions", "shared_folder", "spread_join", "table"]
 
 #: The characters that separate words and are stripped from line ends: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\x0c\r"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import connected_components
-from tallyloom.llm.shared import durable, spread_join
+from tallyloom.llm.shared import durable, importable, spread_join
 
 SHINGLE_WORDS, SIMILARITY, SEED = 5, 0.8, 42
 #: 64-bit words of the fingerprint of the general operator: 512 bits tell a Jaccard similarity to about 0.03.
@@ -75,6 +75,7 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE_WORDS, words: int = 1
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, words: int = 1, seed: int = SEED) -> DataFrame:
     """(_id, _hash, _fp, _weak): a row for each document, _hash of its text, _fp of 8 * words bytes, _weak with bits turned over."""
+    importable(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,6 +256,7 @@ def similar_fingerprints(codes: DataFrame, words: int, limit: int, hot: int = HO
     A bucket of 64-bit fingerprints beyond `hot` is dealt out again by the 12-bit quarters of its other 48 bits, of which a linked pair
     with up to three differences shares one.
     """
+    importable(codes.sparkSession)
     blocks = 4 * words
     near_all = limit < blocks
     keys = lambda c: F.expr(f"hex(substring({c}, 2 * _b + 1, 2))")

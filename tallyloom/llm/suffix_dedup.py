@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import durable, spread_join
+from tallyloom.llm.shared import durable, importable, spread_join
 
 MATCH, GRAM = 200, 32
 #: Bytes of one piece of a text, and of pieces that are hashed together; suffixes of one sorted run; suffixes that one merging task expects; parts
@@ -523,6 +523,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A null text counts as empty; texts under `match` bytes stay whole; long ones are looked at in pieces. Rows that repeat id and text repeat each other and lose the same
     bytes. Extra columns are ignored. An empty table gives no rows.
     """
+    importable(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
     whole = docs.select(F.col(id_col).alias("_id"), *_row_key(id_col, text), text.alias("_text"))

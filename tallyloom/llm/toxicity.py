@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.shared import importable
+
 #: Bound of the fit: labelled documents that are expected in the sample.
 TRAIN_DOCS, TRAIN_TASKS = 40_000, 24
 #: A word enters the lexicon if so many documents have it and toxic ones have it so much more often (log of the ratio).
@@ -135,6 +137,7 @@ def fit(
     word that several clean documents have and no toxic one is an exception, beside those given. A document whose labels
     disagree counts as toxic. Null texts, labels and ids teach nothing. Without any label of either kind, or with an empty table, the lexicon is empty.
     """
+    importable(docs.sparkSession)
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_toxic"))
     n = known.count()
     draw = F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -212,6 +215,7 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
     score is between 0 and 1; a null or empty text is scored as one without hits, and documents with equal features tie. Texts of any length are
     matched in one sweep. Rows that repeat an id are scored one by one. An empty table gives no rows. Extra columns are ignored, whatever they are called.
     """
+    importable(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
