@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import classify, language, text, trees
 from tallyloom.operators import sequence
+from tallyloom.sources.scratch import kept
 
 TYPE, ID, FIELD, SOURCE, TARGET = (f"`{c}`" for c in ("Type", "Identification", "Field", "Default content", "Translated content"))
 
@@ -124,7 +125,7 @@ def field_batches(fields: DataFrame, group: str, order: str, id_col: str, value:
     parts = listed.select(group, order, "parent", F.size("_p").alias("n_parts"), "_alone", F.posexplode("_p").alias("part", "value"))
     name = F.when(F.col("n_parts") > 1, F.concat_ws(":chunk_", "parent", F.col("part").cast("string"))).otherwise(F.col("parent"))
     weighed = parts.withColumn("id", name).withColumn("weight", (text.estimated_tokens(F.col("value")) + 5).cast("long"))
-    batched = sequence.greedy_batches(weighed, group, [order, "part"], "weight", most_tokens + 5, (most_tokens + 5) // 6 + 1, "_alone")
+    batched = sequence.greedy_batches(kept(weighed), group, [order, "part"], "weight", most_tokens + 5, (most_tokens + 5) // 6 + 1, "_alone")
     return batched.select(group, order, "parent", "part", "n_parts", "id", "value", "weight", "batch")
 
 
