@@ -26,10 +26,11 @@ def title_case(c: Column) -> Column:
     return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 1 << 30)))), "")
 
 
-def phone(c: Column) -> Column:
-    """Digits with one plus in front; under five characters none."""
+def phone(c: Column, dialled: str = "00") -> Column:
+    """Digits with one plus in front; under five characters none. dialled: digits that stand for the plus and go; without any all digits stay."""
     bare = F.regexp_replace(_or_empty(c), r"[^\d+]", "")
-    return F.when(F.length(bare) < 5, "").otherwise(F.concat(F.when(bare.startswith("+"), "").otherwise("+"), F.when(bare.startswith("00"), F.substring(bare, 3, 1 << 30)).otherwise(bare)))
+    number = F.when(bare.startswith(dialled), F.substring(bare, len(dialled) + 1, 1 << 30)).otherwise(bare) if dialled else bare
+    return F.when(F.length(bare) < 5, "").otherwise(F.concat(F.when(bare.startswith("+"), "").otherwise("+"), number))
 
 
 def split_name(c: Column) -> Column:
