@@ -71,9 +71,20 @@ def m04(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey", "c_name")
 
 
-@query("m06_gaps", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query(
+    "m06_gaps",
+    """
+WITH o AS (SELECT DISTINCT o_custkey, o_orderpriority FROM orders), p AS (SELECT DISTINCT o_orderpriority AS missing FROM orders WHERE o_orderpriority IS NOT NULL)
+SELECT c_custkey, c_name, missing FROM customer CROSS JOIN p WHERE NOT EXISTS (SELECT 1 FROM o WHERE o_custkey = c_custkey AND o_orderpriority = missing)
+UNION ALL SELECT c_custkey, c_name, 'any' FROM customer WHERE NOT EXISTS (SELECT 1 FROM o WHERE o_custkey = c_custkey)""",
+)
 def m06(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+    """Customers without an order of a priority, for each there is, and without any order at all."""
+    customers, orders = table(spark, sf_dir, "customer").select("c_custkey", "c_name"), table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority").distinct()
+    own, priority = F.col("c_custkey") == F.col("o_custkey"), F.col("o_orderpriority").alias("missing")
+    each = customers.crossJoin(F.broadcast(orders.filter("o_orderpriority is not null").select(priority).distinct()))
+    lacking = each.join(orders, own & (F.col("missing") == F.col("o_orderpriority")), "left_anti")
+    return lacking.unionByName(customers.join(orders, own, "left_anti").withColumn("missing", F.lit("any")))
 
 
 @query("m07_one_to_one", CATALOG_SQL + "SELECT min(source_id) AS source_id, target_id, min_by(method, source_id) AS method FROM ladder GROUP BY target_id")
