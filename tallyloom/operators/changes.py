@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions import classify, html, language, text, trees
+from tallyloom.sources.scratch import kept
 
 # Reference kinds of menu items by the first part of an id or path.
 MENU_KINDS = {"Collection": "COLLECTION", "Product": "PRODUCT", "Page": "PAGE", "Blog": "BLOG", "Article": "ARTICLE", "collections": "COLLECTION", "products": "PRODUCT", "pages": "PAGE", "blogs": "BLOG"}
@@ -220,20 +221,25 @@ def key_coverage(rows: DataFrame, keys: list[str], key: str, owner: str) -> Data
 def dissimilar_sources(rows: DataFrame, row_id: str, source: str, translated: str, least: float = 0.3, width: int = 64) -> DataFrame:
     """Ids of rows whose translation, over 20 characters, stands for a source that shares under `least` of its words with another source of that translation. Sources under three words don't count.
 
-    Sources of one translation that have the same words are one set. A set that differs from any of `width` sets of its group, taken by hash, is found by them, as they are by it. Only sets that are near all of those,
-    few where sources differ at all, go on to the group's other sets, which come in arrays of `width`; no pair becomes a row, and nothing is left out.
+    Sources of one translation that have the same words are one set. By the smallest and the largest set of its group alone most are told: sets that differ that much in size can't share enough. The others are compared with about `width`
+    sets of the group, taken by hash, until one differs. Only sets that are near all of those go on to the group's other sets, which come in arrays of about `width`; no pair becomes a row, no group is sorted, and nothing is left out.
+    least is 1 at most.
     """
     words = F.array_sort(F.array_distinct(F.filter(F.split(F.lower(source), r"(?U)\s+"), lambda w: w != "")))
-    base = rows.filter(F.length(translated) > 20).select(F.col(row_id).alias("_id"), F.col(translated).alias("_t"), words.alias("_w")).filter(F.size("_w") >= 3)
-    sets = base.select("_t", "_w").distinct().withColumn("_n", F.row_number().over(Window.partitionBy("_t").orderBy(F.xxhash64("_w"), F.col("_w"))) - 1).withColumn("_part", F.floor(F.col("_n") / width))
-    parts = sets.groupBy("_t", "_part").agg(F.collect_list("_w").alias("_others"))
+    base = kept(rows.filter(F.length(translated) > 20).select(F.col(row_id).alias("_id"), F.col(translated).alias("_t"), words.alias("_w")).filter(F.size("_w") >= 3))
+    size, hash_ = F.size("_w"), F.xxhash64("_w")
+    groups = kept(base.groupBy("_t").agg(F.min(size).alias("_least"), F.max(size).alias("_most"), F.ceil(F.approx_count_distinct(hash_) / width).alias("_parts")))
+    told = base.join(groups, "_t").withColumn("_differs", (F.col("_least") / size < least) | (size / F.col("_most") < least))
+    rest = kept(told.filter("not _differs").select("_t", "_w").distinct())
+    among = base.join(groups.select("_t", "_parts"), "_t").withColumn("_part", F.pmod(hash_, F.col("_parts")))
     far = lambda a, b: F.size(F.array_intersect(a, b)) / F.greatest(F.size(a), F.size(b)) < least
-    own = sets.select("_t", "_w").join(parts.filter("_part = 0"), "_t").select("_t", "_w", F.filter("_others", lambda o: far(o, F.col("_w"))).alias("_far")).filter(F.size("_far") > 0)
-    soon = own.select("_t", F.explode(F.concat("_far", F.array("_w"))).alias("_w")).distinct()
-    open_ = sets.select("_t", "_w").join(soon, ["_t", "_w"], "left_anti")
-    later = open_.join(parts.filter("_part > 0"), "_t").filter(F.exists("_others", lambda o: far(o, F.col("_w")))).select("_t", "_w")
-    found = soon.unionByName(later).distinct()
-    return base.join(found, ["_t", "_w"]).select(F.col("_id").alias(row_id)).distinct()
+    met = lambda some, sets: some.join(sets.distinct().groupBy("_t", "_part").agg(F.collect_list("_w").alias("_others")), "_t").withColumn("_far", F.exists("_others", lambda o: far(o, F.col("_w")))).select("_t", "_w", "_far")
+    seen = kept(met(rest, among.filter("_part = 0").select("_t", "_part", "_w")))
+    open_ = kept(rest.join(seen.filter("_far"), ["_t", "_w"], "left_anti"))
+    others = among.filter("_part > 0").join(open_.select("_t").distinct(), "_t", "left_semi").select("_t", "_part", "_w")
+    found = seen.filter("_far").select("_t", "_w").unionByName(met(open_, others).filter("_far").select("_t", "_w")).distinct()
+    ids = told.filter("_differs").select("_id").unionByName(told.filter("not _differs").select("_id", "_t", "_w").join(found, ["_t", "_w"]).select("_id"))
+    return ids.select(F.col("_id").alias(row_id)).distinct()
 
 
 # --- translation by a function ------------------------------------------------------------------------------------------------
