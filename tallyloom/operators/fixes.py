@@ -178,24 +178,28 @@ def filled(v: Column) -> Column:
 
 def homepage_checks(templates: DataFrame) -> DataFrame:
     """templates: (name, value), value being a template's JSON. (name, section, check, verdict, n): for each section of products whether it has a collection (ok or fail); for a template without one no_product_section (warn); and images, by
-    template, with verdict ok or, for slots that are empty, warn, counted over the settings of sections and their blocks. A template that is no JSON has unreadable (fail) alone."""
-    parsed = kept(templates.select("name", F.try_parse_json("value").alias("v")))
+    template, with verdict ok or, for slots that are empty, warn, counted over the settings of sections and their blocks. A template that is no JSON has unreadable (fail) alone. Rows of one name are parts of one template, with some of its sections each, so no template need be in one row; sections that are no
+    object are none. Sections are cut out as texts: as VARIANT each would carry the names of all of its template."""
+    bodies = F.from_json("value", "sections map<string,string>")["sections"]
+    parts = templates.select("name", F.try_parse_json("value").isNotNull().alias("fine"), F.explode_outer(bodies).alias("section", "body"))
+    parts = kept(parts.withColumn("body", F.try_parse_json(F.when(F.col("fine"), F.col("body")))))
     part = lambda c, path: F.try_variant_get(c, path, "variant")
     word = lambda c, path: F.coalesce(F.try_variant_get(c, path, "string"), F.lit(""))
-    sections = kept(_exploded(parsed.filter("v is not null").select("name", part("v", "$.sections").alias("s")), "s", "section", "body").drop("s"))
+    names = parts.groupBy("name").agg(F.bool_or("fine").alias("fine"))
+    sections = parts.filter("fine and section is not null").drop("fine")
     heading = F.lower(F.when(word("body", "$.settings.heading") != "", word("body", "$.settings.heading")).otherwise(word("body", "$.settings.title")))
     products = sections.filter(F.lower(word("body", "$.type")).rlike(PRODUCT_TYPES) | heading.rlike(PRODUCT_HEADINGS))
     has = filled(part("body", "$.settings.collection"))
     row = lambda df, check, verdict, n=1: df.select("name", F.col("section"), F.lit(check).alias("check"), verdict.alias("verdict"), F.lit(n).cast("long").alias("n"))
     nothing = F.lit(None).cast("string").alias("section")
     out = row(products, "product_section", F.when(has, "ok").otherwise("fail"))
-    out = out.unionByName(row(parsed.filter("v is not null").join(products.select("name").distinct(), "name", "left_anti").select("name", nothing), "no_product_section", F.lit("warn")))
+    out = out.unionByName(row(names.filter("fine").join(products.select("name").distinct(), "name", "left_anti").select("name", nothing), "no_product_section", F.lit("warn")))
     own = _exploded(sections.select("name", part("body", "$.settings").alias("o")), "o", "key", "set").select("name", "key", "set")
     blocks = _exploded(sections.select("name", part("body", "$.blocks").alias("o")), "o", "block", "inner").select("name", part("inner", "$.settings").alias("o"))
     settings = own.unionByName(_exploded(blocks, "o", "key", "set").select("name", "key", "set")).filter(F.lower("key").contains("image"))
     images = settings.groupBy("name", F.when(filled(F.col("set")), "ok").otherwise("warn").alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
     out = out.unionByName(images.select("name", nothing, F.lit("images").alias("check"), "verdict", "n"))
-    return out.unionByName(row(parsed.filter("v is null").select("name", nothing), "unreadable", F.lit("fail")))
+    return out.unionByName(row(parts.filter("not fine").select("name", nothing).distinct(), "unreadable", F.lit("fail")))
 
 
 def menu_checks(items: DataFrame, expected: DataFrame) -> DataFrame:
