@@ -16,18 +16,20 @@ def shifted_rows(df: DataFrame, group: list[str], order: str, source_tokens: Col
     """Rows whose target shares more tokens with a neighbour's source than with its own: (group, pos, offset, own, other).
     own_tokens: what the row's own source offers, if other than source_tokens. keep: a column that comes along.
 
-    Neighbours stand up to `offset` rows away within the group. They meet in an equality join on the place, not in a range
-    join. The neighbour with the largest overlap wins, the nearest and then the earlier one of several.
+    Neighbours stand up to `offset` rows away within the group. Rows are shuffled once, as they come, by their group; tokens are taken and neighbours looked at behind that. The neighbour with the largest overlap wins, the
+    nearest and then the earlier one of several. Rows of a null group have no neighbours.
     """
     also = [keep] if keep else []
-    placed = df.select(*group, *also, F.row_number().over(Window.partitionBy(*group).orderBy(order)).alias("pos"), source_tokens.alias("_s"), target_tokens.alias("_t"), (source_tokens if own_tokens is None else own_tokens).alias("_own"))
+    placed = df.na.drop(subset=group).withColumn("_at", F.row_number().over(Window.partitionBy(*group).orderBy(order)))
+    placed = placed.select(*group, *also, F.col("_at").alias("pos"), source_tokens.alias("_s"), target_tokens.alias("_t"), (source_tokens if own_tokens is None else own_tokens).alias("_own"))
     shifts = [k for k in range(-offset, offset + 1) if k]
-    asking = placed.select(*group, *also, "pos", "_t", F.size(F.array_intersect("_own", "_t")).alias("own"), F.explode(F.array(*map(F.lit, shifts))).alias("offset")).withColumn("_at", F.col("pos") + F.col("offset"))
-    there = placed.select(*group, F.col("pos").alias("_at"), F.col("_s").alias("_other"))
-    met = asking.join(there, [*group, "_at"]).withColumn("other", F.size(F.array_intersect("_t", "_other")))
-    good = met.filter((F.col("other") >= least) & (F.col("other") > F.col("own")))
-    best = good.groupBy(*group, *also, "pos").agg(F.max_by(F.struct("offset", "own", "other"), F.struct("other", -F.abs("offset"), -F.col("offset"))).alias("_b"))
-    return best.select(*group, *also, "pos", "_b.*")
+    around = Window.partitionBy(*group).orderBy("pos")
+    seen = placed.select(*group, *also, "pos", "_t", "_own", *[F.lead("_s", k).over(around).alias(f"_s{k}") for k in shifts])
+    own = F.size(F.array_intersect("_own", "_t")).alias("own")
+    each = F.array(*[F.struct(F.size(F.array_intersect("_t", f"_s{k}")).alias("other"), F.lit(-abs(k)).alias("near"), F.lit(-k).alias("first")) for k in shifts])
+    best = seen.select(*group, *also, "pos", own, F.array_max(F.filter(each, lambda x: x["other"].isNotNull())).alias("_b"))
+    good = best.filter((F.col("_b.other") >= least) & (F.col("_b.other") > F.col("own")))
+    return good.select(*group, *also, "pos", (-F.col("_b.first")).alias("offset"), "own", F.col("_b.other").alias("other"))
 
 
 def fixed_batches(df: DataFrame, group: list[str], order: str, size: int) -> DataFrame:

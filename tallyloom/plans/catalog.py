@@ -337,9 +337,8 @@ QUALIFY row_number() OVER (PARTITION BY conv_id, pos ORDER BY other DESC, abs(o)
 )
 def w01(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Targets are a turn's words; a row's own source is its long words, so that neighbours can be nearer."""
-    talks = table(spark, sf_dir, "conversations").withColumn("_w", tokens(F.col("text")))
-    t = talks.withColumn("_own", F.filter("_w", lambda x: F.length(x) > 4))
-    placed = sequence.shifted_rows(t, ["conv_id"], "turn", F.col("_w"), F.col("_w"), own_tokens=F.col("_own"))
+    words = tokens(F.col("text"))
+    placed = sequence.shifted_rows(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", words, words, own_tokens=F.filter(words, lambda x: F.length(x) > 4))
     return placed.select("conv_id", "pos", "offset", "own", "other")
 
 
