@@ -1,13 +1,20 @@
 """Joins of texts that contain one another, and of keys that end alike, by equality joins on parts of them."""
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions import parts
 from tallyloom.operators import match
 from tallyloom.sources.scratch import kept, spread_join
 
 #: Characters of the parts by which texts meet; no shorter text is looked for.
 GRAM = 4
+#: Up to so many texts that are shorter are sent to all tasks.
+FEW_SHORT = 100_000
 
 
 def grams(text: Column, size: int = GRAM) -> Column:
@@ -18,27 +25,63 @@ def grams(text: Column, size: int = GRAM) -> Column:
 def contained(needles: DataFrame, hay: DataFrame, size: int = GRAM) -> DataFrame:
     """needles: (needle); hay: (hay). Distinct pairs (needle, hay) of which hay contains needle, needles of fewer than `size` characters and nulls left out.
 
-    A needle asks for the rarest of its parts of `size` characters alone, by the number of hay texts that have it, the smaller of equals; if one of its parts is nowhere, it has no match and goes. Hay texts offer those of their parts that are asked for. They meet by part, as
-    numbers: a part that many ask for or offer is spread over many tasks. Only candidates get their texts back and are compared.
+    A needle asks by one of its parts alone, of 4 * `size` characters, or of 2 * `size` or `size` in a shorter one: the rarest by counts of all parts of the hay in buckets, a table of fixed size that all tasks get. If one of its parts
+    is nowhere there, it has no match and goes. Hay texts offer those of their parts that are asked for, which a bitmap of the asked ones tells at once, so no table of all parts is written. They meet by keys of parts; a part
+    that many ask for or offer is spread over many tasks. Only candidates get their texts back and are compared.
     """
-    asked = needles.select("needle").filter(F.length("needle") >= size).distinct()
-    asked = kept(asked.withColumn("_n", F.monotonically_increasing_id()))
+    spark = needles.sparkSession
     there = kept(hay.select("hay").filter(F.length("hay") >= size).distinct().withColumn("_h", F.monotonically_increasing_id()))
-    wanted = kept(asked.select("_n", F.explode(grams(F.col("needle"), size)).alias("_gram")))
-    offered = kept(there.select("_h", F.explode(grams(F.col("hay"), size)).alias("_gram")).join(wanted.select("_gram").distinct(), "_gram", "left_semi"))
-    often = kept(offered.groupBy("_gram").agg(F.count(F.lit(1)).alias("_often")))
-    told = spread_join(wanted, often, ["_gram"], "left")
-    rarest = told.groupBy("_n").agg(F.min(F.struct("_often", "_gram")).alias("_r"), F.bool_and(F.col("_often").isNotNull()).alias("_all"))
-    by = kept(rarest.filter("_all").select("_n", F.col("_r._gram").alias("_gram"), F.col("_r._often").alias("_often")))
+    asked = needles.select("needle").filter(F.length("needle") >= size).distinct()
+    n, all_ = len(parts.lengths(size)), 1 << parts.BUCKET_BITS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n * all_, np.int64)
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for a, b in parts.chunks(texts):
+                for k, (found, _) in enumerate(parts.keys(texts[a:b], size)):
+                    total[k * all_ : (k + 1) * all_] += np.bincount(parts.buckets(found), minlength=all_)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["_at", "_n"])
+
+    counted = there.select("hay").mapInArrow(count, "_at long, _n long").groupBy("_at").agg(F.sum("_n").alias("_n")).toArrow()  # no more rows than there are buckets
+    counts = np.zeros(n * all_, np.int64)
+    counts[counted.column("_at").to_numpy()] = counted.column("_n").to_numpy()
+    counts = np.minimum(counts, 2**31 - 1).astype(np.int32).reshape(n, all_)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for a, b in parts.chunks(texts):
+                found, at = parts.rarest(texts[a:b], size, counts)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at + a)), pa.array(found.view(np.int64))], names=["needle", "_key"])
+
+    by = kept(asked.mapInArrow(ask, "needle string, _key long"))
+    bits = min(max((16 * by.count()).bit_length(), 15), 28)
+    bit = F.col("_key").bitwiseAND(F.lit((1 << bits) - 1)) + 1
+    blocks = by.groupBy(F.bitmap_bucket_number(bit).alias("_block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bits")).toArrow()  # 4 KB each, 8192 at most
+    wanted = np.zeros((max(1 << bits, 1 << 15)) // 8, np.uint8)
+    for block, some in zip(blocks.column("_block").to_pylist(), blocks.column("_bits").to_pylist(), strict=True):
+        wanted[(block - 1) * 4096 : block * 4096] = np.frombuffer(some, np.uint8)
+
+    def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, ids = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            for a, b in parts.chunks(texts):
+                for found, owner in parts.keys(texts[a:b], size):
+                    low = found & np.uint64((1 << bits) - 1)
+                    some = (wanted[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                    yield pa.RecordBatch.from_arrays([pa.array(found[some].view(np.int64)), pa.array(ids[a:b][owner[some]])], names=["_key", "_h"])
+
+    offered = kept(there.select("hay", "_h").mapInArrow(offer, "_key long, _h long"))
     # A part asked for by a needles and offered by h texts gives a * h candidates; both sides of a hot one are dealt out in a grid.
-    many = by.groupBy("_gram").agg(F.count(F.lit(1)).alias("_a"), F.first("_often").alias("_o"))
-    grid = many.select("_gram", *[F.least(F.lit(64), F.ceil(F.col(c) / 4096)).cast("int").alias(n) for c, n in (("_a", "_rows"), ("_o", "_columns"))])
+    many = by.groupBy("_key").agg(F.count(F.lit(1)).alias("_a")).join(offered.groupBy("_key").agg(F.count(F.lit(1)).alias("_o")), "_key")
+    grid = kept(many.select("_key", *[F.least(F.lit(64), F.ceil(F.col(c) / 4096)).cast("int").alias(n) for c, n in (("_a", "_rows"), ("_o", "_columns"))]))
     part = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    asking = by.drop("_often").join(grid, "_gram").select("_gram", "_n", part("_n", "_rows").alias("_x"), F.explode(F.sequence(F.lit(0), F.col("_columns") - 1)).alias("_y"))
-    offering = offered.join(grid, "_gram").select("_gram", "_h", part("_h", "_columns").alias("_y"), F.explode(F.sequence(F.lit(0), F.col("_rows") - 1)).alias("_x"))
-    met = kept(asking.join(offering, ["_gram", "_x", "_y"]).select("_n", "_h"))
-    texts = spread_join(kept(spread_join(met, asked, ["_n"])), there, ["_h"])
-    return texts.filter(F.col("hay").contains(F.col("needle"))).select("needle", "hay")
+    asking = by.join(grid, "_key").select("_key", "needle", part("needle", "_rows").alias("_x"), F.explode(F.sequence(F.lit(0), F.col("_columns") - 1)).alias("_y"))
+    offering = offered.join(grid, "_key").distinct().select("_key", "_h", part("_h", "_columns").alias("_y"), F.explode(F.sequence(F.lit(0), F.col("_rows") - 1)).alias("_x"))
+    met = kept(asking.join(offering, ["_key", "_x", "_y"]).select("needle", "_h"))
+    return spread_join(met, there, ["_h"]).filter(F.col("hay").contains(F.col("needle"))).select("needle", "hay")
 
 
 def first_contained(left: DataFrame, right: DataFrame, size: int = GRAM, least_left: int = GRAM, least_right: int = 1) -> DataFrame:
@@ -51,15 +94,17 @@ def first_contained(left: DataFrame, right: DataFrame, size: int = GRAM, least_l
     around = contained(other.withColumnRenamed("right", "needle"), own.withColumnRenamed("left", "hay"), size).select(F.col("hay").alias("left"), F.col("needle").alias("right"))
     pairs = within.unionByName(around)
 
-    def parts(texts: DataFrame, side: str, least: int, into: str) -> DataFrame:
+    def short_parts(texts: DataFrame, side: str, least: int, into: str) -> DataFrame:
         """Distinct parts shorter than `size` of each text, as `into`."""
-        return texts.select(side, F.explode(F.array_distinct(F.flatten(F.array(*[grams(F.col(side), k) for k in range(max(least, 1), size)])))).alias(into))
-
-    if least_right < size:
-        pairs = pairs.unionByName(spread_join(kept(parts(own, "left", least_right, "right")), other.filter(F.length("right") < size), ["right"]).select("left", "right"))
-    if least_left < size:  # only the first of the right texts with a short part is of interest
-        first = parts(r.select(F.col("text").alias("right"), "_f"), "right", least_left, "left").join(r.select(F.col("text").alias("right"), "_f"), "right").groupBy("left").agg(F.min(F.struct("_f", "right"))["right"].alias("right"))
-        pairs = pairs.unionByName(own.filter(F.length("left") < size).join(first, "left").select("left", "right"))
+        return texts.select(*texts.columns, F.explode(F.array_distinct(F.flatten(F.array(*[grams(F.col(side), k) for k in range(max(least, 1), size)])))).alias(into))
+
+    # The other side's short texts are looked for alone, if there are any.
+    if least_right < size and (short := kept(other.filter(F.length("right") < size))).count():
+        met = short_parts(own, "left", least_right, "right").join(F.broadcast(short) if short.count() <= FEW_SHORT else short, "right", "left_semi")
+        pairs = pairs.unionByName(met.select("left", "right"))
+    if least_left < size and (short := kept(own.filter(F.length("left") < size))).count():  # only the first of the right texts with a short part is of interest
+        offers = short_parts(r.select(F.col("text").alias("right"), "_f"), "right", least_left, "left").join(F.broadcast(short) if short.count() <= FEW_SHORT else short, "left", "left_semi")
+        pairs = pairs.unionByName(offers.groupBy("left").agg(F.min(F.struct("_f", "right"))["right"].alias("right")))
     best = spread_join(kept(pairs), r.select(F.col("text").alias("right"), "_f"), ["right"]).groupBy("left").agg(F.min(F.struct("_f.ord", "_f.what", "right")).alias("_b"))
     return best.select(F.col("left").alias("text"), F.col("_b.ord").alias("ord"), F.col("_b.what").alias("what"), F.col("_b.right").alias("other"))
 
