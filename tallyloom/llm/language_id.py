@@ -19,8 +19,8 @@ DIMENSIONS, ORDER, SEED = 512, 3, 7
 TRAIN_DOCS, TRAIN_TASKS, LANGUAGE_TASKS = 3000, 24, 6
 #: Up to so many languages their shares are sent to all tasks; beyond, rows meet them by language.
 FEW_LANGUAGES = 10_000
-#: Characters that a task looks at together, and distinct n-grams of theirs.
-BATCH_CHARS, SLICE_GRAMS = 200_000, 8192
+#: Characters and texts that a task looks at together, and distinct n-grams of theirs, fewer in proportion to more than DIMENSIONS.
+BATCH_CHARS, BATCH_TEXTS, SLICE_GRAMS = 200_000, 256, 8192
 
 _BLANK = 0
 
@@ -60,8 +60,8 @@ class Encoder:
             self.known = {}
             new = letters.tolist()
         if new:
-            self.known.update(zip(new, letter_vectors(np.array(new), self.dimensions, self.seed), strict=True))
-        return np.stack([self.known[c] for c in letters.tolist()])
+            self.known.update(zip(new, letter_vectors(np.array(new), self.dimensions, self.seed).astype(np.int8), strict=True))
+        return np.stack([self.known[c] for c in letters.tolist()]).astype(np.float32)
 
     def _letters(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Code points of all texts, each between blanks, with runs of other characters as one blank; the texts' numbers."""
@@ -109,16 +109,17 @@ class Encoder:
         base = self._vectors(alphabet)
         turned = [np.roll(base, order - 1 - k, axis=1) for k in range(order)]
         first, n = int(whose.min(initial=0)), int(whose.max(initial=-1)) + 1
-        several = len(used) > SLICE_GRAMS
+        width = max(SLICE_GRAMS * DIMENSIONS // max(self.dimensions, DIMENSIONS), 1)
+        several = len(used) > width
         if several:  # by n-gram, so that a slice is a range
             by = np.argsort(at, kind="stable")
             at, whose = at[by], whose[by]
-        for low in range(0, len(used), SLICE_GRAMS):
-            part = used[low : low + SLICE_GRAMS]
+        for low in range(0, len(used), width):
+            part = used[low : low + width]
             a, b = np.searchsorted(at, [low, low + len(part)]) if several else (0, len(at))
             counts = np.bincount((whose[a:b] - first) * len(part) + at[a:b] - low, minlength=(n - first) * len(part)).reshape(n - first, len(part))
-            bound, rest = np.ones((len(part), self.dimensions), np.float32), part.copy()
-            for k in range(order - 1, -1, -1):
+            bound, rest = turned[order - 1][part % len(alphabet)], part // len(alphabet)
+            for k in range(order - 2, -1, -1):
                 bound *= turned[k][rest % len(alphabet)]
                 rest //= len(alphabet)
             total[first:n] += counts.astype(np.float32) @ bound
@@ -137,7 +138,7 @@ def _batched(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Ranges of about BATCH_CHARS characters; a longer text is a range of its own."""
     start = size = 0
     for k, t in enumerate(texts):
-        if k > start and (size + len(t) > BATCH_CHARS or k - start >= 256):
+        if k > start and (size + len(t) > BATCH_CHARS or k - start >= BATCH_TEXTS):
             yield start, k
             start, size = k, 0
         size += len(t)
@@ -145,6 +146,14 @@ def _batched(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def _slices(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
+    """The ranges of a column of texts, each with its texts; no more than BATCH_TEXTS become Python's at once."""
+    for at in range(0, len(column), BATCH_TEXTS):
+        texts = [t or "" for t in column.slice(at, BATCH_TEXTS).to_pylist()]
+        for a, b in _batched(texts):
+            yield at + a, at + b, texts[a:b]
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-12)
 
@@ -177,11 +186,13 @@ def fit(
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, found = _encoder(dimensions, order, seed), {}
         for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), object)
-            for a, b in _batched(texts):
-                units = _unit(encode.bundles(texts[a:b])[0])
-                for lang in set(langs[a:b]):
-                    found[lang] = found.get(lang, 0) + units[langs[a:b] == lang].sum(0, dtype=np.float64)
+            for at in range(0, batch.num_rows, BATCH_TEXTS):  # so that only these become Python's
+                texts, langs = (batch.column(k).slice(at, BATCH_TEXTS).to_pylist() for k in (0, 1))
+                langs = np.array(langs, object)
+                for a, b in _batched(texts):
+                    units = _unit(encode.bundles(texts[a:b])[0])
+                    for lang in set(langs[a:b]):
+                        found[lang] = found.get(lang, 0) + units[langs[a:b] == lang].sum(0, dtype=np.float64)
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([v.tobytes() for v in found.values()], pa.binary())], names=["_lang", "_sum"])
 
     total: dict[str, np.ndarray] = {}
@@ -227,10 +238,9 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
         encode = _encoder(profiles.dimensions, profiles.order, profiles.seed)
         for batch in batches:
             column = batch.column(len(keep)) if inner is None else batch.column(inner).field(field)
-            texts = [t or "" for t in column.to_pylist()]
-            best, score, cosine = np.full(len(texts), len(names) - 1), np.zeros(len(texts)), np.zeros(len(texts))
-            for a, b in _batched(texts) if len(names) > 1 else ():
-                bundle, grams = encode.bundles(texts[a:b])
+            best, score, cosine = np.full(batch.num_rows, len(names) - 1), np.zeros(batch.num_rows), np.zeros(batch.num_rows)
+            for a, b, texts in _slices(column) if len(names) > 1 else ():
+                bundle, grams = encode.bundles(texts)
                 bundle = _unit(bundle)
                 near = _unit(bundle - np.outer(bundle @ profiles.common, profiles.common)) @ profiles.prototypes.T
                 power = np.exp(8.0 * near.astype(np.float64))

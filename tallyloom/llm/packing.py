@@ -15,7 +15,7 @@ WINDOW, OPEN_WINDOWS, END_ID = 2048, 16, 1
 #: Leftovers of so many partitions meet in one task: at most MERGE_PARTS * WINDOW tokens.
 MERGE_PARTS = 64
 #: Parts of words whose ids a Python worker remembers; later ones are encoded again in each batch.
-REMEMBERED_PARTS = 1_200_000
+REMEMBERED_PARTS = 400_000
 #: How the tokenizer's vocabulary marks a unit's last token.
 UNIT_END = "</w>"
 #: Signs between a Latin letter and a blank. The tokenizer begins a new unit there; an apostrophe is not among them.
