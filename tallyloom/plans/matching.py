@@ -127,8 +127,9 @@ def m37(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(o_orderkey, doc): an order with its lines as JSON. Strings, whole numbers, booleans, nulls, an array of objects and one of strings."""
     line = F.struct(F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("flag"), F.col("l_quantity").cast("int").alias("n"), (F.col("l_linestatus") == "O").alias("open"))
-    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(line).alias("lines"), F.array_sort(F.collect_set("l_returnflag")).alias("flags"))
-    orders = table(spark, sf_dir, "orders").join(lines, "o_orderkey", "left")
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(line).alias("lines"))
+    flags = F.array_sort(F.array_distinct(F.filter(F.transform("lines", lambda x: x["flag"]), lambda x: x.isNotNull())))
+    orders = table(spark, sf_dir, "orders").join(lines.withColumn("flags", flags), "o_orderkey", "left")
     whole = F.struct(F.struct(F.col("o_orderpriority").alias("priority"), F.when(F.col("o_orderstatus") == "F", F.col("o_orderstatus")).alias("state")).alias("head"), F.col("o_custkey").alias("customer"), "lines", "flags")
     return orders.select("o_orderkey", F.to_json(whole, {"ignoreNullFields": "false"}).alias("doc"))
 
